@@ -76,7 +76,7 @@ def format_values(df: DataFrame, markers: Iterable[str] = NA_MARKERS) -> DataFra
 
 def fold_accents(col: Column, expand_letters: bool = True) -> Column:
     """Drop diacritics. ``expand_letters`` also spells out ß, Æ, ø and typographic quotes."""
-    marks_gone = F.regexp_replace(F.translate(col, _ACCENTED, _PLAIN), r"[̀-ͯ]", "")
+    marks_gone = F.regexp_replace(F.translate(col, _ACCENTED, _PLAIN), r"[\u0300-\u036F]", "")
     if not expand_letters:
         return marks_gone
     single = {k: v for k, v in LETTERS_WITHOUT_DECOMPOSITION.items() if len(v) == 1}
