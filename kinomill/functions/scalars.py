@@ -87,4 +87,5 @@ def iri_part(col: Column) -> Column:
     """Percent-encode everything but RFC 3986 unreserved characters."""
     form = F.url_encode(col)
     blanks = F.replace(form, F.lit("+"), F.lit("%20"))
-    return F.replace(F.replace(blanks, F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    encoded = F.replace(F.replace(blanks, F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    return F.when(col.rlike(r"^[A-Za-z0-9._~-]*$"), col).otherwise(encoded)

@@ -24,29 +24,60 @@ class Statement:
     type: str | None
     guard: Column | None = None
 
-    def column(self) -> Column:
-        wanted = self.subject.isNotNull() & self.object.isNotNull()
-        if self.guard is not None:
-            wanted = self.guard & wanted
-        fields = F.struct(
-            self.subject.alias("s"),
-            F.lit(self.predicate).alias("p"),
-            self.object.alias("o"),
-            F.lit(self.kind).alias("o_kind"),
-            F.lit(self.type).cast("string").alias("o_type"),
-        )
-        return F.when(wanted, fields)
-
-
-def to_triples(df: DataFrame, statements: Sequence[Statement], distinct: bool = True) -> DataFrame:
-    """All statements in one pass over ``df``; no row is lost for one bad value."""
-    made = F.array_compact(F.array(*[s.column() for s in statements]))
-    triples = df.select(F.inline(made))
-    return triples.distinct() if distinct else triples
+
+Part = tuple[DataFrame, Sequence[Statement]]
+
+
+def map_triples(parts: Sequence[Part]) -> DataFrame:
+    """All statements of all parts, as a set; one pass over each part.
+
+    No row is lost for one bad value. Terms shared by several statements are
+    projected once, ahead of the array that is unnested. Predicate, kind and
+    type travel as one small number until the copies are merged, which keeps
+    the shuffle to (number, subject, object).
+    """
+    codes: dict[tuple[str, str, str | None], int] = {}
+    coded = [_coded(df, statements, codes) for df, statements in parts]
+    merged = reduce(lambda a, b: a.unionByName(b), coded).distinct()
+    predicates, kinds, types = zip(*codes)
+
+    def looked_up(values):
+        return F.array(*[F.lit(v).cast("string") for v in values])[F.col("code")]
+
+    return merged.select(
+        "s",
+        looked_up(predicates).alias("p"),
+        "o",
+        looked_up(kinds).alias("o_kind"),
+        looked_up(types).alias("o_type"),
+    )
+
+
+def _coded(df: DataFrame, statements: Sequence[Statement], codes: dict) -> DataFrame:
+    terms: dict[int, tuple[str, Column]] = {}
+
+    def term(column: Column) -> Column:
+        name, _ = terms.setdefault(id(column), (f"__c{len(terms)}", column))
+        return F.col(name)
+
+    made = []
+    for st in statements:
+        code = codes.setdefault((st.predicate, st.kind, st.type), len(codes))
+        subject, value = term(st.subject), term(st.object)
+        wanted = subject.isNotNull() & value.isNotNull()
+        if st.guard is not None:
+            wanted = term(st.guard) & wanted
+        made.append(F.when(wanted, F.struct(F.lit(code).alias("code"), subject.alias("s"), value.alias("o"))))
+    projected = df.select(*[column.alias(name) for name, column in terms.values()])
+    return projected.select(F.inline(F.array(*made))).where("s is not null")
+
+
+def to_triples(df: DataFrame, statements: Sequence[Statement]) -> DataFrame:
+    return map_triples([(df, statements)])
 
 
 def distinct_triples(*parts: DataFrame) -> DataFrame:
-    """Union as a set. Copies are merged before the shuffle."""
+    """Union of ready statements as a set. Copies are merged before the shuffle."""
     return reduce(lambda a, b: a.unionByName(b), parts).distinct()
 
 
@@ -56,16 +87,14 @@ def entail_types(triples: DataFrame, schema: DataFrame) -> DataFrame:
     ``schema`` is the property table of the model: its size is fixed, so it is broadcast.
     """
     typed = triples.join(F.broadcast(schema), F.col("p") == F.col("property"))
-    derived = F.array_compact(
-        F.array(
-            F.when(F.col("domain").isNotNull(), F.struct(F.col("s").alias("s"), F.col("domain").alias("o"))),
-            F.when(
-                (F.col("o_kind") == "iri") & F.col("range").isNotNull(),
-                F.struct(F.col("o").alias("s"), F.col("range").alias("o")),
-            ),
-        )
+    derived = F.array(
+        F.when(F.col("domain").isNotNull(), F.struct(F.col("s").alias("s"), F.col("domain").alias("o"))),
+        F.when(
+            (F.col("o_kind") == "iri") & F.col("range").isNotNull(),
+            F.struct(F.col("o").alias("s"), F.col("range").alias("o")),
+        ),
     )
-    pairs = typed.select(F.inline(derived)).distinct()
+    pairs = typed.select(F.inline(derived)).where("s is not null").distinct()
     return pairs.select(
         "s",
         F.lit(RDF_TYPE).alias("p"),

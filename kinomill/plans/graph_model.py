@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import canonical_ts, iri_part
-from ..operators.triples import Statement, distinct_triples, to_triples
+from ..operators.triples import Part, Statement, map_triples
 
 DEFAULT_NAMESPACE = "http://example.org/kg/"
 XSD = "http://www.w3.org/2001/XMLSchema#"
@@ -86,58 +86,53 @@ class Vocabulary:
         return Statement(subject, self.term(name), target, "iri", None, guard)
 
 
-def person_triples(df: DataFrame, v: Vocabulary = Vocabulary()) -> DataFrame:
+def person_parts(df: DataFrame, v: Vocabulary) -> list[Part]:
     """Popularity table. The person's ``adult`` flag becomes the movie's ``isAdult``, as mapped upstream."""
     person, movie = v.entity("Person", F.col("imdb_id")), v.entity("Movie", F.col("known_for"))
     known = v.entity("Known_for", F.col("imdb_id"), F.col("known_for"))
     is_movie = F.col("known_for").startswith("tt")
-    return to_triples(
-        df.where(F.col("imdb_id").startswith("nm")),
-        [
-            v.a(person, "Person"),
-            v.value(person, "personId", F.col("imdb_id")),
-            v.value(person, "name", F.col("name")),
-            v.value(person, "gender", F.col("gender")),
-            v.value(person, "popularity", F.col("popularity")),
-            v.a(movie, "Movie", is_movie),
-            v.value(movie, "isAdult", F.col("adult"), is_movie),
-            v.a(known, "Known_for", is_movie),
-            v.link(person, "isKnownfor", known, is_movie),
-            v.link(known, "known_for_movie", movie, is_movie),
-            v.value(known, "known_for_popularity", F.col("known_for_popularity"), is_movie),
-        ],
-    )
+    statements = [
+        v.a(person, "Person"),
+        v.value(person, "personId", F.col("imdb_id")),
+        v.value(person, "name", F.col("name")),
+        v.value(person, "gender", F.col("gender")),
+        v.value(person, "popularity", F.col("popularity")),
+        v.a(movie, "Movie", is_movie),
+        v.value(movie, "isAdult", F.col("adult"), is_movie),
+        v.a(known, "Known_for", is_movie),
+        v.link(person, "isKnownfor", known, is_movie),
+        v.link(known, "known_for_movie", movie, is_movie),
+        v.value(known, "known_for_popularity", F.col("known_for_popularity"), is_movie),
+    ]
+    return [(df.where(F.col("imdb_id").startswith("nm")), statements)]
 
 
-def rating_triples(df: DataFrame, v: Vocabulary = Vocabulary()) -> DataFrame:
+def rating_parts(df: DataFrame, v: Vocabulary) -> list[Part]:
     user, movie = v.entity("User", F.col("user_id")), v.entity("Movie", F.col("movie_id"))
     rating = v.entity("Rating", F.col("user_id"), F.col("movie_id"))
     is_movie = F.col("movie_id").startswith("tt")
     rated = is_movie & F.col("rating").isNotNull()
     moment = F.replace(canonical_ts(F.col("rating_timestamp")), F.lit(" "), F.lit("T"))
-    return to_triples(
-        df,
-        [
-            v.a(user, "User"),
-            v.value(user, "userId", F.col("user_id")),
-            v.a(movie, "Movie", is_movie),
-            v.a(rating, "Rating", rated),
-            v.value(rating, "rating_date", moment, rated),
-            v.value(rating, "rating_score", F.col("rating"), rated),
-            v.link(rating, "rating_movie", movie, rated),
-            v.link(user, "rates_movie", rating, rated),
-        ],
-    )
+    statements = [
+        v.a(user, "User"),
+        v.value(user, "userId", F.col("user_id")),
+        v.a(movie, "Movie", is_movie),
+        v.a(rating, "Rating", rated),
+        v.value(rating, "rating_date", moment, rated),
+        v.value(rating, "rating_score", F.col("rating"), rated),
+        v.link(rating, "rating_movie", movie, rated),
+        v.link(user, "rates_movie", rating, rated),
+    ]
+    return [(df, statements)]
 
 
-def _genre_triples(df: DataFrame, movie_id: str, v: Vocabulary) -> DataFrame:
+def _genre_part(df: DataFrame, movie_id: str, v: Vocabulary) -> Part:
     named = df.select(movie_id, F.explode("genres").alias("g")).where("g is not null and g != ''")
     movie, genre = v.entity("Movie", F.col(movie_id)), v.entity("Genre", F.col("g"))
-    statements = [v.a(genre, "Genre"), v.value(genre, "genre_name", F.col("g")), v.link(movie, "has_genre", genre)]
-    return to_triples(named, statements, distinct=False)
+    return named, [v.a(genre, "Genre"), v.value(genre, "genre_name", F.col("g")), v.link(movie, "has_genre", genre)]
 
 
-def movie_triples(df: DataFrame, v: Vocabulary = Vocabulary()) -> DataFrame:
+def movie_parts(df: DataFrame, v: Vocabulary) -> list[Part]:
     known = df.where(F.col("movie_id").startswith("tt"))
     movie = v.entity("Movie", F.col("movie_id"))
     statements = [
@@ -145,10 +140,10 @@ def movie_triples(df: DataFrame, v: Vocabulary = Vocabulary()) -> DataFrame:
         v.value(movie, "title", F.col("movie_title")),
         v.value(movie, "movieId", F.col("movie_id")),
     ]
-    return distinct_triples(to_triples(known, statements, distinct=False), _genre_triples(known, "movie_id", v))
+    return [(known, statements), _genre_part(known, "movie_id", v)]
 
 
-def title_triples(df: DataFrame, v: Vocabulary = Vocabulary()) -> DataFrame:
+def title_parts(df: DataFrame, v: Vocabulary) -> list[Part]:
     known = df.where(F.col("tconst").startswith("tt"))
     movie = v.entity("Movie", F.col("tconst"))
     statements = [
@@ -158,14 +153,14 @@ def title_triples(df: DataFrame, v: Vocabulary = Vocabulary()) -> DataFrame:
         v.value(movie, "startYear", F.col("startYear")),
         v.value(movie, "runtime", F.col("runtimeMinutes")),
     ]
-    return distinct_triples(to_triples(known, statements, distinct=False), _genre_triples(known, "tconst", v))
+    return [(known, statements), _genre_part(known, "tconst", v)]
 
 
-def name_triples(df: DataFrame, v: Vocabulary = Vocabulary()) -> DataFrame:
+def name_parts(df: DataFrame, v: Vocabulary) -> list[Part]:
     """First profession is the primary one; known-for titles need one to exist."""
     known = df.where(F.col("nconst").startswith("nm"))
     person = v.entity("Person", F.col("nconst"))
-    facts = to_triples(
+    facts = (
         known,
         [
             v.a(person, "Person"),
@@ -174,11 +169,10 @@ def name_triples(df: DataFrame, v: Vocabulary = Vocabulary()) -> DataFrame:
             v.value(person, "birthYear", F.col("birthYear")),
             v.value(person, "deathYear", F.col("deathYear")),
         ],
-        distinct=False,
     )
     jobs = known.select("nconst", F.posexplode("primaryProfession").alias("pos", "job"))
     job = v.entity("Profession", F.col("job"))
-    professions = to_triples(
+    professions = (
         jobs,
         [
             v.a(job, "Profession"),
@@ -186,11 +180,10 @@ def name_triples(df: DataFrame, v: Vocabulary = Vocabulary()) -> DataFrame:
             v.link(person, "primary_profession", job, F.col("pos") == 0),
             v.link(person, "alternative_profession", job, F.col("pos") > 0),
         ],
-        distinct=False,
     )
     titled = known.where(F.size("primaryProfession") > 0).select("nconst", F.explode("knownForTitles").alias("t"))
     movie, work = v.entity("Movie", F.col("t")), v.entity("Known_for", F.col("nconst"), F.col("t"))
-    works = to_triples(
+    works = (
         titled,
         [
             v.a(movie, "Movie"),
@@ -198,22 +191,21 @@ def name_triples(df: DataFrame, v: Vocabulary = Vocabulary()) -> DataFrame:
             v.link(person, "isKnownfor", work),
             v.link(work, "known_for_movie", movie),
         ],
-        distinct=False,
     )
-    return distinct_triples(facts, professions, works)
+    return [facts, professions, works]
 
 
-def crew_triples(df: DataFrame, v: Vocabulary = Vocabulary()) -> DataFrame:
+def crew_parts(df: DataFrame, v: Vocabulary) -> list[Part]:
     """One Participates node per (person, movie), whatever the number of roles."""
     known = df.where(F.col("tconst").startswith("tt"))
     movie = v.entity("Movie", F.col("tconst"))
-    parts = [to_triples(known, [v.a(movie, "Movie")], distinct=False)]
+    parts = [(known, [v.a(movie, "Movie")])]
     for array, role in (("directors", "director"), ("writers", "writer")):
         credits = known.select("tconst", F.explode(array).alias("who"))
         person, job = v.entity("Person", F.col("who")), v.entity("Profession", F.lit(role))
         node = v.entity("Participates", F.col("who"), F.col("tconst"))
         parts.append(
-            to_triples(
+            (
                 credits,
                 [
                     v.a(person, "Person"),
@@ -223,7 +215,21 @@ def crew_triples(df: DataFrame, v: Vocabulary = Vocabulary()) -> DataFrame:
                     v.link(node, "participates_person", person),
                     v.link(node, "participates_movie", movie),
                 ],
-                distinct=False,
             )
         )
-    return distinct_triples(*parts)
+    return parts
+
+
+PARTS = {
+    "crew_data": person_parts,
+    "ratings": rating_parts,
+    "movies": movie_parts,
+    "name_basics": name_parts,
+    "title_basics": title_parts,
+    "title_crew": crew_parts,
+}
+
+
+def graph(tables: dict[str, DataFrame], v: Vocabulary = Vocabulary()) -> DataFrame:
+    """Statements of any of the six trusted tables, merged as one set."""
+    return map_triples([part for name, df in tables.items() for part in PARTS[name](df, v)])
