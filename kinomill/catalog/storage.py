@@ -151,12 +151,17 @@ def changed_files(spark, d):
 
 
 def file_hashes(spark, d):
-    """Whole-file hashes of the stored documents against an empty manifest (count per change)."""
+    """Stored documents: all files are new at first, none once the manifest knows them."""
     path = scratch_path(spark, "files")
-    D.table(spark, d, "documents").repartition(16, "doc_id").write.mode("overwrite").parquet(path)
-    seen = spark.createDataFrame([], "path string, md5 string")
-    found = incremental.changed_files(spark, path, seen, pattern="*.parquet")
-    return found.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.length("md5") == 32).alias("hashed"))
+    D.table(spark, d, "documents").write.mode("overwrite").parquet(path)
+    nothing = spark.createDataFrame([], "path string, md5 string")
+    fresh = incremental.changed_files(spark, path, nothing, pattern="*.parquet")
+    manifest = incremental.updated_manifest(nothing, fresh)
+    again = incremental.changed_files(spark, path, manifest, pattern="*.parquet")
+    left = again.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return fresh.agg((F.count(F.lit(1)) > 0).alias("found_new"), F.min(F.length("md5")).alias("hash_length")).withColumn(
+        "still_new", left
+    )
 
 
 def incremental_new_keys(spark, d):
@@ -300,7 +305,7 @@ ORACLE = {
     "sink_triples_tsv": with_views("select person_id as s, role as p, movie_id as o from participates", "participates"),
     "entity_index": f"select p_partkey as id, {movie('p_partkey')} as entity from part where p_partkey % 8 <> 0",
     "changed_files": "select doc_id as path, md5(text) as md5 from documents where lang in ('de', 'fr')",
-    "file_hashes": "select 16::bigint as files, 16::bigint as hashed",
+    "file_hashes": "select count(*) > 0 as found_new, 32 as hash_length, 0::bigint as still_new from documents",
     "incremental_new_keys": "select p_partkey as k from part where p_partkey not in (select l_partkey from lineitem where l_returnflag = 'R')",
     "incremental_append": "select c_custkey, case when c_mktsegment = 'MACHINERY' then c_acctbal + 1 "
     "when c_mktsegment = 'BUILDING' and c_nationkey <= 4 then c_acctbal + 1 when c_nationkey > 4 then c_acctbal end as c_acctbal from customer",
