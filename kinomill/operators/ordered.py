@@ -164,15 +164,15 @@ def running_total(
     offsets = _carried(
         per_piece,
         by,
-        __before=F.coalesce(F.sum("__sum").over(_before(by)), F.lit(0)),
-        __all=F.sum("__sum").over(Window.partitionBy(*by)),
+        __carry_before=F.coalesce(F.sum("__sum").over(_before(by)), F.lit(0)),
+        __carry_total=F.sum("__sum").over(Window.partitionBy(*by)),
     )
     joined = null_safe_join(summed, F.broadcast(offsets), (*by, PIECE), "left")
-    keep = [c for c in joined.columns if c not in (upto, total, PIECE, "__before", "__all")]
+    keep = [c for c in joined.columns if c not in (upto, total, PIECE, "__carry_before", "__carry_total")]
     return joined.select(
         *keep,
-        (F.col(upto) + F.coalesce("__before", F.lit(0))).alias(upto),
-        F.coalesce("__all", total).alias(total),
+        (F.col(upto) + F.coalesce("__carry_before", F.lit(0))).alias(upto),
+        F.coalesce("__carry_total", total).alias(total),
     )
 
 
