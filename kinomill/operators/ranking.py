@@ -10,11 +10,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .embeddings import dot, minus, on_hyperplane, plus, score_transh
+from ..session import cut_lineage
+from .embeddings import minus, on_hyperplane, plus, score_transh
 from .ordered import exact_quantiles, null_safe_join, running_total
 
 QUERY_BLOCK = 2_048
@@ -38,8 +39,7 @@ def _queries(triples: DataFrame, entities: DataFrame, relations: DataFrame) -> D
         .join(relations.select(F.col("id").alias("r_id"), "w", "d"), "r_id")
     )
     scored = score_transh(full).withColumn("score", F.round("score", DIGITS))
-    h_plane = on_hyperplane(F.col("h"), F.col("w"), dot(F.col("h"), F.col("w")))
-    t_plane = on_hyperplane(F.col("t"), F.col("w"), dot(F.col("t"), F.col("w")))
+    h_plane, t_plane = on_hyperplane(F.col("h"), F.col("w")), on_hyperplane(F.col("t"), F.col("w"))
     sides = F.array(
         F.struct(
             F.lit("tail").alias("side"), F.col("h_id").alias("anchor"), F.col("t_id").alias("target"),
@@ -53,25 +53,27 @@ def _queries(triples: DataFrame, entities: DataFrame, relations: DataFrame) -> D
     return scored.select("h_id", "r_id", "t_id", "score", "w", F.inline(sides))
 
 
-def _count_cell(key, queries: pd.DataFrame, entities: pd.DataFrame) -> pd.DataFrame:
+def _count_cell(key, queries: pa.Table, entities: pa.Table) -> pa.Table:
     """One grid cell: candidates better than and equal to each query's own score."""
     names = ["h_id", "r_id", "t_id", "side"]
-    if queries.empty or entities.empty:
-        return pd.DataFrame({**{n: queries[n].iloc[:0] for n in names}, "better": [], "ties": []}).astype(
-            {"better": "int64", "ties": "int64"}
-        )
-    q, w = np.stack(queries["q"].to_numpy()), np.stack(queries["w"].to_numpy())
-    e = np.stack(entities["vector"].to_numpy()).astype("float64")
+    found = queries.select(names)
+    if not queries.num_rows or not entities.num_rows:
+        none = pa.array([0] * queries.num_rows, pa.int64())
+        return found.append_column("better", none).append_column("ties", none)
+
+    def matrix(table, column):
+        flat = table.column(column).combine_chunks().flatten().to_numpy()
+        return flat.reshape(table.num_rows, -1).astype("float64")
+
+    q, w, e = matrix(queries, "q"), matrix(queries, "w"), matrix(entities, "vector")
     along = w @ e.T
     product = q @ e.T - along * np.einsum("ij,ij->i", q, w)[:, None]
     lengths = (e * e).sum(axis=1)[None, :] - along**2
     scores = np.round(-((q * q).sum(axis=1)[:, None] - 2 * product + lengths), DIGITS)
-    own = queries["score"].to_numpy()[:, None]
-    other = queries["target"].to_numpy()[:, None] != entities["id"].to_numpy()[None, :]
-    out = queries[names].copy()
-    out["better"] = ((scores > own) & other).sum(axis=1)
-    out["ties"] = ((scores == own) & other).sum(axis=1)
-    return out
+    own = queries.column("score").to_numpy()[:, None]
+    other = queries.column("target").to_numpy()[:, None] != entities.column("id").to_numpy()[None, :]
+    found = found.append_column("better", pa.array(((scores > own) & other).sum(axis=1), pa.int64()))
+    return found.append_column("ties", pa.array(((scores == own) & other).sum(axis=1), pa.int64()))
 
 
 def rank_triples(
@@ -100,7 +102,7 @@ def rank_triples(
     ).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     kinds = {f.name: f.dataType.simpleString() for f in queries.schema.fields}
     schema = f"h_id {kinds['h_id']}, r_id {kinds['r_id']}, t_id {kinds['t_id']}, side string, better bigint, ties bigint"
-    cells = left.groupBy("qb", "eb").cogroup(right.groupBy("qb", "eb")).applyInPandas(_count_cell, schema)
+    cells = left.groupBy("qb", "eb").cogroup(right.groupBy("qb", "eb")).applyInArrow(_count_cell, schema)
     raw = cells.groupBy("h_id", "r_id", "t_id", "side").agg(F.sum("better").alias("better"), F.sum("ties").alias("ties"))
 
     true = triples.select("h_id", "r_id", "t_id")
@@ -175,7 +177,11 @@ def mean_inverse(n: Column) -> Column:
 
 
 def rank_metrics(ranks: DataFrame, adjusted_at: int = 10, **limits) -> DataFrame:
-    """One row per side (head, tail, both) and rank kind (optimistic, realistic, pessimistic)."""
+    """One row per side (head, tail, both) and rank kind (optimistic, realistic, pessimistic).
+
+    Several passes need the ranks, so they are written to the checkpoint folder once.
+    """
+    ranks = cut_lineage(ranks)
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("double").alias("rank")) for k in ("optimistic", "realistic", "pessimistic")])
     sides = F.explode(F.array(F.col("side"), F.lit("both")))
     long = ranks.select(sides.alias("side"), "candidates", kinds.alias("__k")).select("side", "candidates", F.inline("__k"))
