@@ -71,6 +71,19 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(renamed, condition, how).drop(*[f"__r_{c}" for c in on])
 
 
+def _key_sizes(df: DataFrame, by: Sequence[str], pieces: int | None, min_rows: int):
+    """Rows per key, their sum, the number a key may have uncut, and whether one has more."""
+    n = pieces or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_PIECES)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))
+    total, largest = sizes.agg(F.sum("__rows"), F.max("__rows")).first()
+    limit = max(min_rows, 2 * -(-(total or 0) // n))
+    return n, sizes, total, limit, bool(largest) and largest > limit
+
+
+def has_large_key(df: DataFrame, by: Sequence[str], pieces: int | None = None, min_rows: int = MIN_ROWS) -> bool:
+    return _key_sizes(df, by, pieces, min_rows)[-1]
+
+
 def find_cuts(
     df: DataFrame,
     by: Sequence[str],
@@ -81,12 +94,9 @@ def find_cuts(
     """Look at the key sizes (one small job) and cut the keys that need it."""
     by, order = tuple(by), tuple(order)
     spark = df.sparkSession
-    n = pieces or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_PIECES)
     keyed = df.select(*by, *[c for c in order if c not in by])
-    sizes = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))
-    total, largest = sizes.agg(F.sum("__rows"), F.max("__rows")).first()
-    limit = max(min_rows, 2 * -(-(total or 0) // n))
-    if not largest or largest <= limit:
+    n, sizes, total, limit, uneven = _key_sizes(keyed, by, pieces, min_rows)
+    if not uneven:
         return None
 
     # Fewer than n/2 rows by the choice of limit, so safe to broadcast.
@@ -142,15 +152,17 @@ def running_total(
     value: str,
     upto: str = "upto",
     total: str = "total",
+    may_cut: bool = True,
     **limits,
 ) -> DataFrame:
     """Add the running sum of ``value`` (this row included) and the group sum.
 
     Rows that tie on ``order`` get running sums in an arbitrary order among
-    themselves, so callers pass an order without ties.
+    themselves, so callers pass an order without ties. ``may_cut=False`` skips
+    the look at the key sizes, for callers who know that none is large.
     """
     by, order = tuple(by), tuple(order)
-    cuts = find_cuts(df, by, order, **limits)
+    cuts = find_cuts(df, by, order, **limits) if may_cut else None
     labelled = df.withColumn(PIECE, F.lit(None).cast(IntegerType())) if cuts is None else cuts.label(df)
     group = (*by, PIECE) if cuts is not None else by
     local = Window.partitionBy(*group)
@@ -280,7 +292,9 @@ def exact_quantiles(
     by = list(by)
     values = df.where(F.col(f"`{column}`").isNotNull())
     counts = values.groupBy(*by, F.col(f"`{column}`").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    ranked = running_total(counts, by, ["__v"], "__n", "__upto", "__total", **limits)
+    # A group has no more distinct values than rows, and rows are cheaper to count.
+    uneven = has_large_key(values.select(*by), by, **limits)
+    ranked = running_total(counts, by, ["__v"], "__n", "__upto", "__total", may_cut=uneven, **limits)
 
     def at_rank(rank):
         return F.max(F.when((F.col("__upto") >= rank) & (F.col("__upto") - F.col("__n") < rank), F.col("__v")))

@@ -13,17 +13,28 @@ COLUMNS = ("s", "p", "o", "o_kind", "o_type")
 RDF_TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 
 
+@dataclass(frozen=True)
+class Term:
+    """Subject or object: a constant prefix and a part that depends on the row."""
+
+    prefix: str
+    part: Column
+
+
 @dataclass(frozen=True)
 class Statement:
-    """One statement per row; left out if the guard fails or subject or object is NULL."""
+    """One statement per row; left out if the guard fails or a part is NULL."""
 
-    subject: Column
+    subject: Term
     predicate: str
-    object: Column
+    object: Term
     kind: str
     type: str | None
     guard: Column | None = None
 
+    def constants(self) -> tuple:
+        return self.subject.prefix, self.predicate, self.object.prefix, self.kind, self.type
+
 
 Part = tuple[DataFrame, Sequence[Statement]]
 
@@ -31,23 +42,24 @@ Part = tuple[DataFrame, Sequence[Statement]]
 def map_triples(parts: Sequence[Part]) -> DataFrame:
     """All statements of all parts, as a set; one pass over each part.
 
-    No row is lost for one bad value. Terms shared by several statements are
-    projected once, ahead of the array that is unnested. Predicate, kind and
-    type travel as one small number until the copies are merged, which keeps
-    the shuffle to (number, subject, object).
+    No row is lost for one bad value. Parts shared by several statements are
+    projected once, ahead of the array that is unnested. Everything constant
+    about a statement travels as one small number until the copies are merged,
+    which keeps the shuffle to that number and the two variable parts. Prefixes
+    end where the encoded parts start, so equal statements have equal codes.
     """
-    codes: dict[tuple[str, str, str | None], int] = {}
+    codes: dict[tuple, int] = {}
     coded = [_coded(df, statements, codes) for df, statements in parts]
     merged = reduce(lambda a, b: a.unionByName(b), coded).distinct()
-    predicates, kinds, types = zip(*codes)
+    subjects, predicates, objects, kinds, types = zip(*codes)
 
     def looked_up(values):
         return F.array(*[F.lit(v).cast("string") for v in values])[F.col("code")]
 
     return merged.select(
-        "s",
+        F.concat(looked_up(subjects), F.col("s")).alias("s"),
         looked_up(predicates).alias("p"),
-        "o",
+        F.concat(looked_up(objects), F.col("o")).alias("o"),
         looked_up(kinds).alias("o_kind"),
         looked_up(types).alias("o_type"),
     )
@@ -62,8 +74,8 @@ def _coded(df: DataFrame, statements: Sequence[Statement], codes: dict) -> DataF
 
     made = []
     for st in statements:
-        code = codes.setdefault((st.predicate, st.kind, st.type), len(codes))
-        subject, value = term(st.subject), term(st.object)
+        code = codes.setdefault(st.constants(), len(codes))
+        subject, value = term(st.subject.part), term(st.object.part)
         wanted = subject.isNotNull() & value.isNotNull()
         if st.guard is not None:
             wanted = term(st.guard) & wanted

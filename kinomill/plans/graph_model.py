@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import canonical_ts, iri_part
-from ..operators.triples import Part, Statement, map_triples
+from ..operators.triples import Part, Statement, Term, map_triples
 
 DEFAULT_NAMESPACE = "http://example.org/kg/"
 XSD = "http://www.w3.org/2001/XMLSchema#"
@@ -69,20 +69,20 @@ class Vocabulary:
     def classes(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(self.term(c), c) for c in CLASSES], "class string, label string")
 
-    def entity(self, kind: str, *ids: Column) -> Column:
+    def entity(self, kind: str, *ids: Column) -> Term:
         encoded = [iri_part(i.cast("string")) for i in ids]
         joined = encoded[0]
         for part in encoded[1:]:
             joined = F.concat(joined, F.lit("_"), part)
-        return F.concat(F.lit(self.term(kind) + "/"), joined)
+        return Term(self.term(kind) + "/", joined)
 
-    def a(self, subject: Column, kind: str, guard: Column | None = None) -> Statement:
-        return Statement(subject, RDF_TYPE, F.lit(self.term(kind)), "iri", None, guard)
+    def a(self, subject: Term, kind: str, guard: Column | None = None) -> Statement:
+        return Statement(subject, RDF_TYPE, Term(self.term(kind), F.lit("")), "iri", None, guard)
 
-    def value(self, subject: Column, name: str, value: Column, guard: Column | None = None) -> Statement:
-        return Statement(subject, self.term(name), value.cast("string"), "literal", self.range_of(name), guard)
+    def value(self, subject: Term, name: str, value: Column, guard: Column | None = None) -> Statement:
+        return Statement(subject, self.term(name), Term("", value.cast("string")), "literal", self.range_of(name), guard)
 
-    def link(self, subject: Column, name: str, target: Column, guard: Column | None = None) -> Statement:
+    def link(self, subject: Term, name: str, target: Term, guard: Column | None = None) -> Statement:
         return Statement(subject, self.term(name), target, "iri", None, guard)
 
 
