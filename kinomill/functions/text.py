@@ -75,7 +75,15 @@ def format_values(df: DataFrame, markers: Iterable[str] = NA_MARKERS) -> DataFra
 
 
 def fold_accents(col: Column, expand_letters: bool = True) -> Column:
-    """Drop diacritics. ``expand_letters`` also spells out ß, Æ, ø and typographic quotes."""
+    """Drop diacritics. ``expand_letters`` also spells out ß, Æ, ø and typographic quotes.
+
+    Text of plain ASCII is passed on after one quick look.
+    """
+    folded = _folded(col, expand_letters)
+    return F.when(F.octet_length(col) == F.length(col), col).otherwise(folded)
+
+
+def _folded(col: Column, expand_letters: bool) -> Column:
     marks_gone = F.regexp_replace(F.translate(col, _ACCENTED, _PLAIN), r"[\u0300-\u036F]", "")
     if not expand_letters:
         return marks_gone

@@ -10,12 +10,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import prefix_id
+from ..sources.readers import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The largest table; most of the mapping work starts from it."""
+    return spread(table(spark, folder, "lineitem"))
+
+
 def movie_id(key: str) -> Column:
     return prefix_id(F.lpad(F.col(key).cast("string"), 7, "0"), "tt")
 
@@ -60,7 +66,7 @@ def person(spark, folder) -> DataFrame:
 
 
 def _credits(spark, folder) -> DataFrame:
-    return table(spark, folder, "lineitem").where(F.col("l_linenumber").isin(1, 2))
+    return lines(spark, folder).where(F.col("l_linenumber").isin(1, 2))
 
 
 def participates(spark, folder) -> DataFrame:
@@ -86,12 +92,12 @@ def known_for(spark, folder) -> DataFrame:
 
 
 def rating(spark, folder) -> DataFrame:
-    lines = table(spark, folder, "lineitem").select(
+    scored = lines(spark, folder).select(
         "l_orderkey", "l_partkey", F.ceil(F.col("l_quantity") / 5).cast("int").alias("score")
     )
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        scored.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select("o_custkey", "l_partkey", "score")
         .distinct()
         .select(F.col("o_custkey").alias("user_id"), movie_id("l_partkey").alias("movie_id"), "score")
@@ -173,9 +179,9 @@ def crew_data(spark, folder) -> DataFrame:
 
 
 def ratings(spark, folder) -> DataFrame:
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    rated = lines(spark, folder).select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return rated.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").cast("string").alias("user_id"),
         movie_id("l_partkey").alias("movie_id"),
         F.ceil(F.col("l_quantity") / 5).cast("int").alias("rating"),

@@ -47,6 +47,16 @@ def read_json_map(spark: SparkSession, path: str, value_type: str, layout: str =
     return parsed.select(F.explode("m").alias("key", "value"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that comes in fewer files than cores.
+
+    Such a file may be a single split (gzip, one row group), and then all work up
+    to the next shuffle runs in one task. Inputs with more files stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def read_zone(spark: SparkSession, root: str, zone: str, dataset: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{zone}/{dataset}")
 
