@@ -71,20 +71,27 @@ def relation_completeness(df: DataFrame) -> DataFrame:
     return df.agg(F.coalesce(F.avg(complete_row(df).cast("double")), F.lit(0.0)).alias("complete_ratio"))
 
 
-def redundancy(df: DataFrame) -> DataFrame:
-    """Rows over distinct rows (1 = no duplicates); NULL for an empty input.
+def whole_rows(df: DataFrame) -> DataFrame:
+    """Redundancy and completeness of whole rows in one pass.
 
     Copies are merged before the shuffle, so a row repeated very often is cheap.
     """
     per_row = df.groupBy(*[_quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
     rows, distinct = F.sum("__n"), F.count(F.lit(1))
+    complete = F.sum(F.when(complete_row(df), F.col("__n")).otherwise(0))
     return per_row.agg(
         F.coalesce(rows, F.lit(0)).alias("row_count"),
         distinct.alias("distinct_rows"),
         (rows / F.when(distinct > 0, distinct)).alias("redundancy_factor"),
+        F.coalesce(complete / F.when(rows > 0, rows), F.lit(0.0)).alias("complete_ratio"),
     )
 
 
+def redundancy(df: DataFrame) -> DataFrame:
+    """Rows over distinct rows (1 = no duplicates); NULL for an empty input."""
+    return whole_rows(df).select("row_count", "distinct_rows", "redundancy_factor")
+
+
 def timeliness(
     df: DataFrame, attribute: str, ts_column: str, update_rate: float = 12, as_of: date | str | None = None
 ) -> DataFrame:

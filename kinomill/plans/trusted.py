@@ -116,24 +116,16 @@ def prepare(df: DataFrame, treatment: Treatment) -> DataFrame:
 
 
 def metrics(df: DataFrame) -> DataFrame:
-    """Profile, completeness and redundancy as (metric, column, value) rows."""
-    profiled = quality.profile(df)
-    measures = ("distinct_count", "value_count", "mean", "stddev", "min", "max")
-    per_column = profiled.select(
-        "column",
-        F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in measures])),
-    ).where("value is not null")
-    missing = quality.column_completeness(df).select(
-        "column", F.lit("missing_ratio").alias("metric"), F.col("missing_ratio").alias("value")
-    )
-    whole = F.lit(None).cast("string").alias("column")
-    complete = quality.relation_completeness(df).select(
-        whole, F.lit("complete_ratio").alias("metric"), F.col("complete_ratio").alias("value")
-    )
-    repeated = quality.redundancy(df).select(
-        whole, F.lit("redundancy_factor").alias("metric"), F.col("redundancy_factor").alias("value")
-    )
-    return per_column.unionByName(missing).unionByName(complete).unionByName(repeated)
+    """Profile, completeness and redundancy as (metric, column, value) rows, in two passes."""
+    profiled = quality.profile(df).withColumn("missing_ratio", 1 - F.col("value_count") / F.when(F.col("row_count") > 0, F.col("row_count")))
+    measures = ("distinct_count", "value_count", "missing_ratio", "mean", "stddev", "min", "max")
+    per_column = profiled.select("column", _long(measures)).where("value is not null")
+    whole = quality.whole_rows(df).select(F.lit(None).cast("string").alias("column"), _long(("complete_ratio", "redundancy_factor")))
+    return per_column.unionByName(whole)
+
+
+def _long(measures):
+    return F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in measures]))
 
 
 def trust(

@@ -48,13 +48,13 @@ def read_json_map(spark: SparkSession, path: str, value_type: str, layout: str =
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input that comes in fewer files than cores.
+    """Give more cores a share of a scan that has fewer splits than there are cores.
 
-    Such a file may be a single split (gzip, one row group), and then all work up
-    to the next shuffle runs in one task. Inputs with more files stay as they are.
+    Such an input may be a single split in effect (gzip, one row group), and then
+    all work up to the next shuffle runs in one task. Larger inputs stay as they are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    splits, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(min(cores, 8 * max(splits, 1))) if splits < cores else df
 
 
 def read_zone(spark: SparkSession, root: str, zone: str, dataset: str) -> DataFrame:
