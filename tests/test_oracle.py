@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 from check_oracle import compare, connect
+from kinomill import catalog
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = {key: entry_module.queries()[key] for key in catalog.queries()}
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
