@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinomill.llm import exact_dedup, mixing, sharding
+from kinomill.llm import exact_dedup, mixing, sharding, topk, warc
 from kinomill.llm.common import table
 from kinomill.session import scratch_path
 
@@ -37,7 +37,23 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op3_exact_dedup, op7_mixing, op9_sharding)}
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC records, read back and stored by content."""
+    root = scratch_path(spark, "warc")
+    warc.write_archive(table(spark, folder, "pages"), f"{root}/archive", date="2024-01-01T00:00:00Z")
+    store = warc.Store(spark, f"{root}/store")
+    store.add(warc.read_archive(spark, f"{root}/archive"))
+    return store.described().select(
+        "page_id", "payload_bytes", F.col("sha1").alias("payload_digest"), "record_type", "refers_to"
+    )
+
+
+def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    return topk.top_k(table(spark, folder, "embeddings"), k=5, every=50)
+
+
+QUERIES = {q.__name__: q for q in (op3_exact_dedup, op7_mixing, op8_warc, op9_sharding, op10_topk)}
 
 ORACLE = {
     "op3_exact_dedup": r"""
@@ -90,6 +106,37 @@ ORACLE = {
                       or (r.hash = e.hash and e.upto - budget <= budget - spent) then 1 else 0 end))::bigint as taken
         from running r left join edge_sums e on r.source is not distinct from e.source
     """,
+    "op8_warc": r"""
+        with payloads as (
+            select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as hex from pages
+        ), numbered as (
+            select *, min(page_id) over (partition by body) as head,
+                   list_transform([1, 11, 21, 31], lambda i: ('0x' || substr(hex, i, 10))::bigint) as parts
+            from payloads
+        )
+        select page_id, strlen(body)::bigint as payload_bytes,
+               array_to_string(list_transform(range(32), lambda i:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((parts[(i // 8 + 1)::int] >> (35 - 5 * (i % 8))::int) & 31)::int + 1, 1)),
+                   '') as payload_digest,
+               case when page_id = head then 'response' else 'revisit' end as record_type,
+               case when page_id <> head then head end as refers_to
+        from numbered
+    """,
+    "op10_topk": r"""
+        with ints as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+            from embeddings
+            where embedding is not null and len(embedding) > 0
+                  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), scored as (
+            select q.vec_id as query_id, p.vec_id, list_dot_product(q.v::double[], p.v::double[])::bigint as score
+            from ints q join ints p on p.vec_id <> q.vec_id
+            where q.vec_id % 50 = 0
+        )
+        select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score
+        from scored
+        qualify rank <= 5
+    """,
 }
 
 
