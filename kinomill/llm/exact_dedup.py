@@ -63,7 +63,8 @@ class DigestIndex:
 
     def append(self, groups: DataFrame) -> None:
         """Add the digests of ``groups`` that are new. Adding the same batch twice changes nothing."""
-        fresh = self.unseen(groups).select("digest", "keep_id", "copies")
+        # Dealt as the buckets are: a task writes one file, not one per bucket.
+        fresh = self.unseen(groups).select("digest", "keep_id", "copies").repartition(self.buckets, "digest")
         fresh.write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").option(
             "path", self.path
         ).saveAsTable(self.name)
