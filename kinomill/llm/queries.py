@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinomill.llm import exact_dedup, mixing, sharding, topk, warc
+from kinomill.llm import exact_dedup, langid, mixing, sharding, topk, warc
 from kinomill.llm.common import table
 from kinomill.session import scratch_path
 
@@ -17,6 +17,13 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The predicted language of every document."""
+    docs = table(spark, folder, "documents")
+    model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
+    return langid.predict(docs, model, ["doc_id", langid.held_out(F.col("doc_id")).alias("held_out")])
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed by source weight."""
     mixed = mixing.mix(table(spark, folder, "documents"))
@@ -53,7 +60,7 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), k=5, every=50)
 
 
-QUERIES = {q.__name__: q for q in (op3_exact_dedup, op7_mixing, op8_warc, op9_sharding, op10_topk)}
+QUERIES = {q.__name__: q for q in (op3_exact_dedup, op5_language_id, op7_mixing, op8_warc, op9_sharding, op10_topk)}
 
 ORACLE = {
     "op3_exact_dedup": r"""
