@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinomill.llm import exact_dedup, langid, mixing, sharding, topk, warc
+from kinomill.llm import exact_dedup, langid, mixing, pieces, sharding, topk, warc
 from kinomill.llm.common import table
 from kinomill.session import scratch_path
 
@@ -24,6 +24,12 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs, model, ["doc_id", langid.held_out(F.col("doc_id")).alias("held_out")])
 
 
+def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in pieces: the best segmentation, the next two, and whether decoding gives the text back."""
+    encoded = pieces.encode(table(spark, folder, "documents"), ["doc_id"], n=3)
+    return encoded.withColumn("n_tokens", F.coalesce(F.size("ids"), F.lit(0)).cast("long"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed by source weight."""
     mixed = mixing.mix(table(spark, folder, "documents"))
@@ -60,7 +66,7 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), k=5, every=50)
 
 
-QUERIES = {q.__name__: q for q in (op3_exact_dedup, op5_language_id, op7_mixing, op8_warc, op9_sharding, op10_topk)}
+QUERIES = {q.__name__: q for q in (op3_exact_dedup, op5_language_id, op6_pieces, op7_mixing, op8_warc, op9_sharding, op10_topk)}
 
 ORACLE = {
     "op3_exact_dedup": r"""
