@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinomill.llm import exact_dedup, langid, mixing, pieces, sharding, topk, warc
+from kinomill.llm import exact_dedup, langid, mixing, pieces, sharding, simhash, topk, warc
 from kinomill.llm.common import table
 from kinomill.session import scratch_path
 
@@ -17,6 +17,12 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"), size=4, limit=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """The predicted language of every document."""
     docs = table(spark, folder, "documents")
@@ -66,7 +72,7 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), k=5, every=50)
 
 
-QUERIES = {q.__name__: q for q in (op3_exact_dedup, op5_language_id, op6_pieces, op7_mixing, op8_warc, op9_sharding, op10_topk)}
+QUERIES = {q.__name__: q for q in (op3_exact_dedup, op4_simhash, op5_language_id, op6_pieces, op7_mixing, op8_warc, op9_sharding, op10_topk)}
 
 ORACLE = {
     "op3_exact_dedup": r"""
