@@ -33,10 +33,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinomill.llm.hashing import gather, prefix_sums, span_hashes
+
 MARK = 0x2581  # begins a word inside pieces
 LITERAL = 0x110000  # a mark that the text itself holds; no piece has this code
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-BASE = 0x9E3779B97F4A7C15
 SLOTS = 1 << 20
 CHARS_PER_PASS = 2_000_000
 PLACES_PER_LATTICE = 400000
@@ -102,32 +103,6 @@ def load(path: str = DEFAULT_MODEL) -> Vocabulary:
     return Vocabulary([model.id_to_piece(i) for i in range(model.get_piece_size())], model.piece_to_id("<0x00>"))
 
 
-@lru_cache(maxsize=2)
-def _powers(size: int, base: int) -> np.ndarray:
-    out = np.full(size, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-def _power_table(n: int, base: int) -> np.ndarray:
-    return _powers(1 << max(16, int(n).bit_length()), base)
-
-
-def prefix_sums(codes: np.ndarray) -> np.ndarray:
-    """Sums of mixed codes times powers of BASE, from 0 on; differences are hashes of spans."""
-    x = (codes + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    x = (x ^ (x >> np.uint64(31))) * _power_table(len(codes), BASE)[: len(codes)]
-    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)])
-
-
-def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of spans; equal spans have equal hashes wherever they are."""
-    x = (sums[end] - sums[start]) * _power_table(len(sums), pow(BASE, -1, 1 << 64))[start]
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
 def codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all texts with marks for spaces and one before each text that is not empty, and the texts' first places."""
     lengths = np.array([len(t) for t in texts], np.int64)
@@ -269,12 +244,6 @@ def segment_words(sums, codes, start, length, vocabulary: Vocabulary) -> Words:
     return Words(ids, starts[back], counts[back], score, loss)
 
 
-def _gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Indices of many slices, one after the other."""
-    ends = np.cumsum(counts)
-    return np.repeat(starts - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)
-
-
 def _joined(n: int, lists: list[list[tuple[float, list[int]]]]) -> list[tuple[float, tuple[int, ...]]]:
     """The n least sums of one loss from each list (rising, first 0): (sum, choices)."""
     queue, seen, out = [(0.0, (0,) * len(lists))], {(0,) * len(lists)}, []
@@ -317,7 +286,7 @@ class Encoder:
         _, sample, inverse = np.unique(span_hashes(sums, start, start + length), return_index=True, return_inverse=True)
         words = segment_words(sums, codes, start[sample], length[sample], self.vocabulary)
         counts = words.counts[inverse]
-        ids = words.ids[_gather(words.starts[inverse], counts)]
+        ids = words.ids[gather(words.starts[inverse], counts)]
         loss, score = words.loss[inverse], words.score[inverse]
         bounds = np.append(np.searchsorted(start, first), len(start))
         before = np.concatenate([[0], np.cumsum(counts)])
@@ -353,7 +322,7 @@ class Encoder:
     def decode(self, ids: np.ndarray, per_text: np.ndarray) -> list[str]:
         """The texts of flat ids; the space that stands for the mark before a text goes."""
         lengths = self.vocabulary.lengths[ids]
-        data = self.vocabulary.bytes[_gather(self.vocabulary.starts[ids], lengths)].tobytes()
+        data = self.vocabulary.bytes[gather(self.vocabulary.starts[ids], lengths)].tobytes()
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(per_text)])]
         return [data[a + 1 : b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:])]
 

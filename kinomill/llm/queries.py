@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinomill.llm import exact_dedup, langid, mixing, pieces, sharding, simhash, topk, warc
+from kinomill.llm import exact_dedup, langid, mixing, pieces, sharding, simhash, substring_dedup, topk, warc
 from kinomill.llm.common import table
 from kinomill.session import scratch_path
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the passages of 20 words that occurred before."""
+    kept = substring_dedup.remove_repeats(table(spark, folder, "documents"), window=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Exact copies among all documents, through a new digest index."""
     index = exact_dedup.DigestIndex.open(spark, scratch_path(spark, "digests"))
@@ -72,7 +78,7 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), k=5, every=50)
 
 
-QUERIES = {q.__name__: q for q in (op3_exact_dedup, op4_simhash, op5_language_id, op6_pieces, op7_mixing, op8_warc, op9_sharding, op10_topk)}
+QUERIES = {q.__name__: q for q in (op2_substring_dedup, op3_exact_dedup, op4_simhash, op5_language_id, op6_pieces, op7_mixing, op8_warc, op9_sharding, op10_topk)}
 
 ORACLE = {
     "op3_exact_dedup": r"""
