@@ -279,8 +279,9 @@ def remove_repeats(docs: DataFrame, window: int = 20, prefix: int = 8, group_lea
     repeated = cut_lineage(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     any_hot = not repeated.where(F.col("n") > group_leaves).isEmpty()
     wanted = anchors.join(repeated, "gram").select("row", "place", (F.col("n") > group_leaves).alias("hot"))
-    # One shuffle of the texts serves the search and the result.
-    dealt = _packed(rows).repartition("row")
+    # One shuffle of the texts serves the search and the result. An inner join adds this filter of its own below the
+    # shuffle; with it on both sides Spark sees that they are the same.
+    dealt = _packed(rows).where("row is not null").repartition("row")
     tasks = task_count(docs.sparkSession)
 
     def placed(hot: bool) -> DataFrame:
