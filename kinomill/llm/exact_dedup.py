@@ -102,3 +102,18 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     return joined.select("*", copy).select(
         "doc_id", "keep_id", F.col("copies").alias("group_size"), stays.alias("kept"), "digest"
     )
+
+
+def keep_first(docs: DataFrame, index: DigestIndex) -> DataFrame:
+    """The rows of ``docs`` whose text is new to the index, one per text, with all their columns."""
+    kept = cut_lineage(deduplicate(docs, index))
+    chosen = kept.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
+    marked = docs.withColumn("__digest", text_digest(F.col("text")))
+    found = marked.join(
+        chosen, marked["doc_id"].eqNullSafe(chosen["kept_id"]) & (marked["__digest"] == chosen["kept_digest"]), "left_semi"
+    )
+    # Only rows that repeat both id and text are still there more than once.
+    again = kept.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not again.isEmpty():
+        found = found.dropDuplicates(["doc_id", "__digest"])
+    return found.drop("__digest")

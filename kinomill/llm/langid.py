@@ -191,20 +191,25 @@ def train(docs: DataFrame, sample: int = 6_000, epochs: int = 3) -> Model:
     return Model(languages, idf, weights, fitted["temperature"])
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str | Column] | None = None) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with lang_pred and score; only the text is an input."""
-    kept = docs.select(*(keep or ["doc_id"]), F.col("text").alias("__text"))
-    names = [c for c in kept.columns if c != "__text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "__text")
+def predict(
+    docs: DataFrame, model: Model, keep: list[str | Column] | None = None, names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and the prediction under ``names``; only the text is an input."""
+    kept = docs.select(*(keep or ["doc_id"]))
+    own = kept.columns
+    source = "text" if "text" in own else "__text"
+    if source not in own:
+        kept = docs.select(*(keep or ["doc_id"]), F.col("text").alias(source))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in own)
 
     def run(batches):
         for batch in batches:
-            pairs = [model.predict(text.as_py()) for text in batch.column("__text")]
-            columns = [batch.column(c) for c in names]
+            pairs = [model.predict(text.as_py()) for text in batch.column(source)]
+            columns = [batch.column(c) for c in own]
             columns += [pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*own, *names])
 
-    return kept.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return kept.mapInArrow(run, f"{schema}, `{names[0]}` string, `{names[1]}` double")
 
 
 def held_out(doc_id: Column) -> Column:

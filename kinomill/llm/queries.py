@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from kinomill.llm import exact_dedup, langid, mixing, pieces, sharding, simhash, substring_dedup, topk, warc
 from kinomill.llm.common import table
 from kinomill.session import scratch_path
@@ -166,8 +167,9 @@ ORACLE = {
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    return {**QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
-    return dict(ORACLE)
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**ORACLE, **sql}
