@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kinomill.llm import exact_dedup, langid, mixing, pieces, sharding, simhash, substring_dedup, topk, warc
+from kinomill.llm import exact_dedup, langid, mixing, pieces, quality, sharding, simhash, substring_dedup, topk, warc
 from kinomill.llm.common import table
 from kinomill.session import scratch_path
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Perplexity of every document under a model of the documents labelled good and not toxic, and whether it stays."""
+    trusted = table(spark, folder, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+    return quality.judge(table(spark, folder, "documents"), trusted)
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the passages of 20 words that occurred before."""
     kept = substring_dedup.remove_repeats(table(spark, folder, "documents"), window=20)
@@ -79,7 +85,7 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), k=5, every=50)
 
 
-QUERIES = {q.__name__: q for q in (op2_substring_dedup, op3_exact_dedup, op4_simhash, op5_language_id, op6_pieces, op7_mixing, op8_warc, op9_sharding, op10_topk)}
+QUERIES = {q.__name__: q for q in (op1_quality, op2_substring_dedup, op3_exact_dedup, op4_simhash, op5_language_id, op6_pieces, op7_mixing, op8_warc, op9_sharding, op10_topk)}
 
 ORACLE = {
     "op3_exact_dedup": r"""
