@@ -26,6 +26,7 @@ import zlib
 from dataclasses import dataclass
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,7 +99,7 @@ def write_archive(pages: DataFrame, path: str, date: str, min_bytes: int = 0) ->
 
 RECORD_SCHEMA = (
     "page_id bigint, record_type string, refers_to bigint, stated_sha1 string, stated_sha256 string, "
-    "header binary, payload binary, sha1 string, sha256 string"
+    "header binary, packed binary, payload_bytes bigint, sha1 string, sha256 string"
 )
 
 
@@ -157,8 +158,9 @@ def _number(record_id: str | None):
 
 def _parse_batches(batches):
     names = [c.split(" ")[0] for c in RECORD_SCHEMA.split(", ")]
-    types = {"page_id": pa.int64(), "refers_to": pa.int64(), "header": pa.binary(), "payload": pa.binary()}
+    types = dict.fromkeys(("page_id", "refers_to", "payload_bytes"), pa.int64()) | dict.fromkeys(("header", "packed"), pa.binary())
     schema = pa.schema([(n, types.get(n, pa.string())) for n in names])
+    pack = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         for content in batch.column("content"):
             out, held = [], 0
@@ -172,7 +174,8 @@ def _parse_batches(batches):
                         fields.get("WARC-Payload-Digest", "").removeprefix("sha1:"),
                         fields.get("X-Payload-SHA256"),
                         header,
-                        payload if own else None,
+                        pack(payload) if own else None,
+                        len(payload) if own else None,
                         base64.b32encode(hashlib.sha1(payload).digest()).decode() if own else None,
                         hashlib.sha256(payload).hexdigest() if own else None,
                     )
@@ -186,11 +189,22 @@ def _parse_batches(batches):
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Records of all WARC files below ``path``, with the digests recomputed from the payloads."""
+    """Records of all WARC files below ``path``: payloads in zstd frames, and the digests recomputed from their bytes."""
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(_parse_batches, RECORD_SCHEMA)
 
 
+def _unpacked(batches):
+    """Payload bytes from their frames, checked against the digest they are stored by."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        payloads = [unpack(x.as_py()) for x in batch.column("packed")]
+        for digest, payload in zip(batch.column("sha256").to_pylist(), payloads):
+            if hashlib.sha256(payload).hexdigest() != digest:
+                raise ValueError(f"stored payload differs from its digest {digest}")
+        yield pa.RecordBatch.from_arrays([batch.column("sha256"), pa.array(payloads, pa.binary())], names=["sha256", "payload"])
+
+
 @dataclass(frozen=True)
 class Store:
     """Content-addressed archive below a folder: ``payloads`` once per digest, ``headers`` per record."""
@@ -210,11 +224,8 @@ class Store:
         checked.select("page_id", "record_type", "refers_to", "sha256", "header").write.mode("append").parquet(
             f"{self.path}/headers"
         )
-        bodies = checked.where(F.col("payload").isNotNull()).select("sha256", "sha1", "payload")
-        once = bodies.dropDuplicates(["sha256"])
-        once.withColumn("payload_bytes", F.octet_length("payload").cast("long")).write.mode("append").parquet(
-            f"{self.path}/payloads"
-        )
+        bodies = checked.where(F.col("packed").isNotNull()).select("sha256", "sha1", "payload_bytes", "packed")
+        bodies.dropDuplicates(["sha256"]).write.mode("append").parquet(f"{self.path}/payloads")
 
     def headers(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/headers")
@@ -228,7 +239,8 @@ class Store:
 
     def rebuilt(self) -> DataFrame:
         """(page_id, record_type, record): the original bytes of each record, and ``full_payload`` also for revisits."""
-        joined = self.headers().join(self.payloads().select("sha256", "payload"), "sha256")
+        whole = self.payloads().select("sha256", "packed").mapInArrow(_unpacked, "sha256 string, payload binary")
+        joined = self.headers().join(whole, "sha256")
         body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
         record = F.concat(F.col("header"), body, F.lit(END.encode()))
         return joined.select("page_id", "record_type", record.alias("record"), F.col("payload").alias("full_payload"))
