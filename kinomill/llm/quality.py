@@ -364,7 +364,7 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, order: int = 4) -> Dat
 
 
 def judge(
-    docs: DataFrame, trusted_ids: DataFrame, order: int = 4, quantile: float = 0.995, aside: int = 5
+    docs: DataFrame, trusted_ids: DataFrame, order: int = 4, quantile: float = 0.99, aside: int = 5
 ) -> DataFrame:
     """Adds ``threshold`` (of the language) and ``keep`` to the perplexities; every ``aside``-th trusted id sets thresholds."""
     sets_threshold = F.crc32(F.col("doc_id").cast("string")) % aside == 0
