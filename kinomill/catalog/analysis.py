@@ -96,6 +96,14 @@ def histogram(spark, d):
     return bins.select("bin", _r("bin_low", 3), _r("bin_high", 3), "n")
 
 
+def histogram_nan(spark, d):
+    """Every seventh price is not a number, every eleventh infinite: neither moves the edges or is counted."""
+    key = F.col("l_orderkey")
+    price = F.when(key % 7 == 0, float("nan")).when(key % 11 == 0, float("inf")).otherwise(F.col("l_extendedprice"))
+    bins = summaries.histogram(D.table(spark, d, "lineitem").select(price.alias("price")), "price")
+    return bins.select("bin", _r("bin_low", 3), _r("bin_high", 3), "n")
+
+
 def truncate_label(spark, d):
     docs = D.table(spark, d, "documents")
     return docs.select(
@@ -119,6 +127,7 @@ QUERIES = {
     "popularity_trend": popularity_trend,
     "box_stats": box_stats,
     "histogram": histogram,
+    "histogram_nan": histogram_nan,
     "truncate_label": truncate_label,
 }
 
@@ -220,6 +229,13 @@ ORACLE = {
         "select cast(b.bin as int) as bin, round(lo + b.bin * w, 3) as bin_low, round(lo + (b.bin + 1) * w, 3) as bin_high, "
         "coalesce(n, 0) as n from range(30) b(bin) cross join s left join c on c.bin = b.bin"
     ),
+    "histogram_nan": (
+        "with t as (select l_extendedprice as v from lineitem where l_orderkey % 7 <> 0 and l_orderkey % 11 <> 0), "
+        "s as (select min(v) as lo, max(v) as hi, (max(v) - min(v)) / 30 as w from t), "
+        "c as (select least(cast(floor((v - lo) / w) as int), 29) as bin, count(*) as n from t, s group by 1) "
+        "select cast(b.bin as int) as bin, round(lo + b.bin * w, 3) as bin_low, round(lo + (b.bin + 1) * w, 3) as bin_high, "
+        "coalesce(n, 0) as n from range(30) b(bin) cross join s left join c on c.bin = b.bin"
+    ),
     "truncate_label": (
         "select doc_id, case when length(text) > 30 then substr(text, 1, 30) || '...' else text end as label, "
         "lang || ' & ' || source as pair from documents"

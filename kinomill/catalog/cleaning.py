@@ -91,6 +91,13 @@ def epoch_to_timestamp(spark, d):
     return D.table(spark, d, "events").select("event_id", S.epoch_to_ts(raw).cast("timestamp_ntz").alias("moment"))
 
 
+def epoch_out_of_range(spark, d):
+    """Numbers of seconds beyond any calendar, in both directions, give NULL."""
+    key = F.col("event_id")
+    raw = F.when(key % 5 == 0, "99999999999999999").when(key % 5 == 1, "-9223372036854775808").otherwise((key * 977).cast("string"))
+    return D.table(spark, d, "events").select("event_id", S.epoch_to_ts(raw).cast("timestamp_ntz").alias("moment"))
+
+
 def flag_to_bool(spark, d):
     return D.table(spark, d, "labels").select(
         "doc_id", S.int_to_bool(F.col("quality")).alias("quality"), S.int_to_bool(F.col("toxic")).alias("toxic")
@@ -177,7 +184,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         normalize_whitespace, nullify_markers, format_values, fold_accents, strip_diacritics, title_year, split_list,
-        clean_array, prefix_id, safe_cast, epoch_to_timestamp, flag_to_bool, decode_codes, flatten_struct,
+        clean_array, prefix_id, safe_cast, epoch_to_timestamp, epoch_out_of_range, flag_to_bool, decode_codes, flatten_struct,
         explode_array, explode_array_outer, resolve_id, drop_column, canonical_timestamp, dedupe_rows, dedupe_key,
         join_left, join_semi, join_anti,
     )
@@ -217,6 +224,8 @@ ORACLE = {
     "safe_cast": "select c_custkey, case when c_custkey % 4 > 1 then c_nationkey end as number from customer",
     "epoch_to_timestamp": "select event_id, case when event_id % 9 <> 0 then "
     "timestamp '1970-01-01 00:00:00' + to_seconds(event_id * 977 + 1000000000) end as moment from events",
+    "epoch_out_of_range": "select event_id, case when event_id % 5 > 1 then "
+    "timestamp '1970-01-01 00:00:00' + to_seconds(event_id * 977) end as moment from events",
     "flag_to_bool": "select doc_id, quality = 1 as quality, toxic = 1 as toxic from labels",
     "decode_codes": "select s_suppkey, case s_nationkey % 5 when 0 then 'NotSet' when 1 then 'Female' when 2 then 'Male' "
     "when 3 then 'Non-binary' end as gender from supplier",

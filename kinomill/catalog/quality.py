@@ -58,6 +58,12 @@ def missing_dates(spark, d):
     return Q.missing_dates(D.table(spark, d, "orders"), "o_orderdate").select(F.col("day").cast("string").alias("day"))
 
 
+def missing_dates_dirty(spark, d):
+    """Order dates as text, every seventh malformed."""
+    written = F.when(F.col("o_orderkey") % 7 == 0, "31.02.1997 ?").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return Q.missing_dates(D.table(spark, d, "orders").select(written.alias("day")), "day").select(F.col("day").cast("string").alias("day"))
+
+
 def date_coverage(spark, d):
     return Q.date_coverage(D.table(spark, d, "orders"), "o_orderdate").select(F.col("day").cast("string").alias("day"), "present")
 
@@ -142,7 +148,7 @@ def impute_mean(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        profile_columns, column_completeness, relation_completeness, redundancy, timeliness, missing_dates,
+        profile_columns, column_completeness, relation_completeness, redundancy, timeliness, missing_dates, missing_dates_dirty,
         date_coverage, calendar_complete, ts_outliers, ts_outliers_joined, impute_midpoint, impute_linear,
         impute_temporal, impute_mode, impute_median, impute_mean,
     )
@@ -210,6 +216,9 @@ ORACLE = {
     "timeliness": "select 'o_totalprice' as attribute, round(avg(1 / (1 + (date_diff('day', o_orderdate::date, date '2024-06-30') + 1e-9::double) * 12.0::double)), 9) as timeliness_score from orders",
     "missing_dates": "select cast(cast(d as date) as varchar) as day from (select unnest(generate_series((select min(o_orderdate) from orders), "
     "(select max(o_orderdate) from orders), interval 1 day)) as d) x where cast(d as date) not in (select cast(o_orderdate as date) from orders)",
+    "missing_dates_dirty": "with o as (select cast(o_orderdate as date) as t from orders where o_orderkey % 7 <> 0) "
+    "select cast(cast(d as date) as varchar) as day from (select unnest(generate_series((select min(t) from o), "
+    "(select max(t) from o), interval 1 day)) as d) x where cast(d as date) not in (select t from o)",
     "date_coverage": "select cast(cast(d as date) as varchar) as day, cast(d as date) in (select cast(o_orderdate as date) from orders) as present from "
     "(select unnest(generate_series((select min(o_orderdate) from orders), (select max(o_orderdate) from orders), interval 1 day)) as d) x",
     "calendar_complete": "select cast(min(t) as varchar) as first_day, cast(max(t) as varchar) as last_day, count(distinct t) as days_present, "
@@ -230,7 +239,7 @@ ORACLE = {
     )
     + " from orders",
     "impute_median": "select c_custkey, case when c_custkey % 3 <> 0 then c_acctbal else (select quantile_disc(c_acctbal, 0.5) from customer where c_custkey % 3 <> 0) end as c_acctbal, "
-    "(case when c_custkey % 4 <> 0 then c_nationkey else (select quantile_disc(c_nationkey, 0.5) from customer where c_custkey % 4 <> 0) end)::double as c_nationkey, 0.0::double as nothing from customer",
+    "(case when c_custkey % 4 <> 0 then c_nationkey else (select quantile_disc(c_nationkey, 0.5) from customer where c_custkey % 4 <> 0) end) as c_nationkey, 0 as nothing from customer",
     "impute_mean": "select c_custkey, round(case when c_custkey % 3 <> 0 then c_acctbal else (select avg(c_acctbal) from customer where c_custkey % 3 <> 0) end, 6) as c_acctbal, "
     "round(case when c_custkey % 4 <> 0 then c_nationkey else (select avg(c_nationkey) from customer where c_custkey % 4 <> 0) end, 6) as c_nationkey, -1.0::double as nothing from customer",
 }

@@ -130,6 +130,16 @@ def sink_triples_tsv(spark, d):
     return readers.read_triples(spark, path)
 
 
+def sink_triples_tsv_text(spark, d):
+    """Whole texts with tabs and line breaks as objects come back unchanged."""
+    path = scratch_path(spark, "texts")
+    docs = D.table(spark, d, "documents")
+    triples = docs.select(F.col("doc_id").cast("string").alias("s"), F.lit("text\\of").alias("p"), F.col("text").alias("o"))
+    sinks.write_triples_tsv(triples, path)
+    back = readers.read_triples(spark, path)
+    return back.select(F.col("s").cast("bigint").alias("doc_id"), "p", F.col("o").alias("text"))
+
+
 def entity_index(spark, d):
     """Index file with a header and foreign lines, numeric ids kept."""
     path = scratch_path(spark, "index")
@@ -151,17 +161,25 @@ def changed_files(spark, d):
 
 
 def file_hashes(spark, d):
-    """Stored documents: all files are new at first, none once the manifest knows them."""
+    """Stored texts of each language and source, a file each, and the hashes of their whole content.
+
+    All files are new at first, none once the manifest knows them.
+    """
     path = scratch_path(spark, "files")
-    D.table(spark, d, "documents").write.mode("overwrite").parquet(path)
+    # One short line per document; a group's lines are ordered and made one file of known content.
+    lines = D.table(spark, d, "documents").select("lang", "source", F.concat_ws(" ", F.lpad("doc_id", 12, "0"), F.md5("text")).alias("value"))
+    lines.repartition("lang", "source").sortWithinPartitions("lang", "source", "value").write.mode("overwrite").partitionBy(
+        "lang", "source"
+    ).text(path)
     nothing = spark.createDataFrame([], "path string, md5 string")
-    fresh = incremental.changed_files(spark, path, nothing, pattern="*.parquet")
+    fresh = incremental.changed_files(spark, path, nothing, pattern="part-*")
     manifest = incremental.updated_manifest(nothing, fresh)
-    again = incremental.changed_files(spark, path, manifest, pattern="*.parquet")
-    left = again.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return fresh.agg((F.count(F.lit(1)) > 0).alias("found_new"), F.min(F.length("md5")).alias("hash_length")).withColumn(
-        "still_new", left
-    )
+    left = incremental.changed_files(spark, path, manifest, pattern="part-*").agg(F.count(F.lit(1)).alias("n")).scalar()
+    return fresh.select(
+        F.regexp_extract("path", "lang=([^/]*)", 1).alias("lang"),
+        F.regexp_extract("path", "source=([^/]*)", 1).alias("source"),
+        "md5",
+    ).withColumn("still_new", left)
 
 
 def incremental_new_keys(spark, d):
@@ -219,12 +237,18 @@ def shape_payload(spark, d):
 
 
 def storage_footprint(spark, d):
-    """Bytes of the documents as text and as Parquet."""
+    """Bytes of the documents as text and as Parquet; what must hold for them whatever the writer's version."""
     text, parquet = scratch_path(spark, "text"), scratch_path(spark, "parquet")
     docs = D.table(spark, d, "documents")
     docs.write.mode("overwrite").json(text)
     docs.write.mode("overwrite").parquet(parquet)
-    return sinks.footprint(spark, text, parquet)
+    found = sinks.footprint(spark, text, parquet)
+    saved = F.round((1 - F.col("target_bytes") / F.col("source_bytes")) * 100, 1)
+    return found.select(
+        (F.col("source_bytes") > 0).alias("text_has_bytes"),
+        (F.col("target_bytes") > 0).alias("parquet_has_bytes"),
+        (F.col("saved_percent") == saved).alias("share_follows"),
+    )
 
 
 def sink_ntriples(spark, d):
@@ -267,7 +291,7 @@ QUERIES = {
     for f in (
         scan_delimited, scan_tsv_gz, scan_csv, scan_json_map, scan_parquet, scan_triples_tsv, entity_index,
         changed_files, file_hashes, incremental_new_keys, incremental_append, referenced_people, shape_payload,
-        sink_parquet, storage_footprint, sink_ntriples, sink_csv, sink_triples_tsv, observe_metrics,
+        sink_parquet, storage_footprint, sink_ntriples, sink_csv, sink_triples_tsv, sink_triples_tsv_text, observe_metrics,
     )
 }
 
@@ -303,9 +327,11 @@ ORACLE = {
     "sink_parquet": "select * from events",
     "scan_triples_tsv": _triples_of_titles(),
     "sink_triples_tsv": with_views("select person_id as s, role as p, movie_id as o from participates", "participates"),
+    "sink_triples_tsv_text": "select doc_id, 'text\\of' as p, text from documents",
     "entity_index": f"select p_partkey as id, {movie('p_partkey')} as entity from part where p_partkey % 8 <> 0",
     "changed_files": "select doc_id as path, md5(text) as md5 from documents where lang in ('de', 'fr')",
-    "file_hashes": "select count(*) > 0 as found_new, 32 as hash_length, 0::bigint as still_new from documents",
+    "file_hashes": "select lang, source, md5(string_agg(lpad(doc_id::varchar, 12, '0') || ' ' || md5(text) || chr(10), '' order by doc_id)) as md5, "
+    "0::bigint as still_new from documents group by lang, source",
     "incremental_new_keys": "select p_partkey as k from part where p_partkey not in (select l_partkey from lineitem where l_returnflag = 'R')",
     "incremental_append": "select c_custkey, case when c_mktsegment = 'MACHINERY' then c_acctbal + 1 "
     "when c_mktsegment = 'BUILDING' and c_nationkey <= 4 then c_acctbal + 1 when c_nationkey > 4 then c_acctbal end as c_acctbal from customer",
@@ -317,6 +343,7 @@ ORACLE = {
     "shape_payload": "select event_id, case when event_id % 6 <> 0 then user_id end as id, case when event_id % 6 <> 0 then event_type end as name, "
     "case when event_id % 6 <> 0 then 2 end as works, case when event_id % 6 <> 0 then cast(json_extract_string(props, '$.k') as bigint) end as first_work, "
     "case when event_id % 6 <> 0 then 2.5::double end as first_popularity from events",
+    "storage_footprint": "select count(*) > 0 as text_has_bytes, count(*) > 0 as parquet_has_bytes, true as share_follows from documents",
     "sink_ntriples": f"select {_DOC} || ' <{M.RDF_TYPE}> <{M.DEFAULT_NAMESPACE}Movie> .' as value from documents union all "
     f"select {_DOC} || ' <{M.DEFAULT_NAMESPACE}title> \"' || {_ESCAPED} || '\"^^<{M.XSD}string> .' from documents",
     "sink_csv": "select * from customer",

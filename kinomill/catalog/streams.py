@@ -84,14 +84,22 @@ def serving_view(spark, d):
     """Stored history up to 20 January and the stream beyond it."""
     batch = D.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).where("ts < timestamp '2024-01-20'")
     speed = _drained(spark, _events(spark, d))
-    return _plain(S.serving_view(batch, speed, "ts"), "event_id", "ts", "user_id", "value")
+    return _plain(S.serving_view(batch, speed, "ts", ["event_id"], "1 day"), "event_id", "ts", "user_id", "value")
+
+
+def serving_view_late(spark, d):
+    """Every seventh event is missing from the stored history and comes late, some without a time."""
+    events = D.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    batch = events.where("event_id % 7 <> 0")
+    arrived = _drained(spark, _events(spark, d)).withColumn("ts", F.when(F.col("event_id") % 21 != 0, F.col("ts")))
+    return _plain(S.serving_view(batch, arrived, "ts", ["event_id"]), "event_id", "ts", "user_id", "value")
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         stream_ingest, stream_trusted, stream_dedupe, stream_window_avg, stream_sliding_avg, stream_sessions,
-        serving_view,
+        serving_view, serving_view_late,
     )
 }
 
@@ -108,4 +116,5 @@ ORACLE = {
     "b as (select *, sum(fresh) over (partition by user_id order by ts, event_id) as s from a) "
     "select min(ts) as session_start, user_id, count(*) as n, round(sum(value), 4) as total from b group by user_id, s",
     "serving_view": "select event_id, ts, user_id, value from events",
+    "serving_view_late": "select event_id, case when event_id % 21 <> 0 then ts end as ts, user_id, value from events",
 }

@@ -34,7 +34,9 @@ def prefix_id(col: Column, prefix: str) -> Column:
 
 
 def epoch_to_ts(col: Column) -> Column:
-    return F.timestamp_seconds(col.try_cast("bigint"))
+    """Seconds since 1970 to a timestamp; NULL outside the years 1 to 9999."""
+    seconds = col.try_cast("bigint")
+    return F.when(seconds.between(-62_135_596_800, 253_402_300_799), F.timestamp_seconds(seconds))
 
 
 def int_to_bool(col: Column) -> Column:

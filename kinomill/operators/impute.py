@@ -82,13 +82,19 @@ def _unpivot(df: DataFrame, columns: Sequence[str], cast: str) -> DataFrame:
     return df.select(F.inline(pairs))
 
 
-def _fill_from_map(df: DataFrame, per_column: DataFrame, columns: Sequence[str], last: Column) -> DataFrame:
-    """``per_column`` has one row per column name, so the map is small."""
+def _fill_from_map(df: DataFrame, per_column: DataFrame, columns: Sequence[str], last: Column, keep_type: bool = False) -> DataFrame:
+    """``per_column`` has one row per column name, so the map is small.
+
+    ``keep_type`` casts the fill to the column's type instead of widening the column.
+    """
     fills = per_column.agg(F.map_from_entries(F.collect_list(F.struct("column", "fill"))).alias("m")).scalar()
     chosen = set(columns)
-    return df.select(
-        *[F.coalesce(F.col(f"`{c}`"), fills[F.lit(c)], last).alias(c) if c in chosen else F.col(f"`{c}`") for c in df.columns]
-    )
+
+    def filled(c):
+        fill = F.coalesce(fills[F.lit(c)], last)
+        return F.coalesce(F.col(f"`{c}`"), fill.cast(df.schema[c].dataType) if keep_type else fill).alias(c)
+
+    return df.select(*[filled(c) if c in chosen else F.col(f"`{c}`") for c in df.columns])
 
 
 def column_modes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -115,7 +121,7 @@ def impute_numeric(
     approximate: bool = False,
     **limits,
 ) -> DataFrame:
-    """Fill numeric columns with their median (a value of the column) or mean."""
+    """Fill numeric columns with their median (a value of the column, so the type stays) or mean (columns become double)."""
     if strategy not in ("median", "mean"):
         raise ValueError(f"strategy {strategy!r} is neither median nor mean")
     columns = list(columns or numeric_columns(df))
@@ -128,4 +134,4 @@ def impute_numeric(
         fills = long.groupBy("column").agg(F.percentile_approx("value", F.lit(0.5), 10_000).alias("fill"))
     else:
         fills = exact_quantiles(long, "value", [0.5], by=["column"], names=["fill"], **limits)
-    return _fill_from_map(df, fills, columns, F.lit(float(default)))
+    return _fill_from_map(df, fills, columns, F.lit(float(default)), keep_type=strategy == "median")

@@ -14,11 +14,12 @@ def lookup_left(df: DataFrame, links: DataFrame, key: str, links_key: str) -> Da
 
 
 def having_match(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(other, list(on), "left_semi")
+    # Distinct first: a key that fills the right side is one row per task before it is shuffled.
+    return df.join(other.select(*on).distinct(), list(on), "left_semi")
 
 
 def without_match(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(other, list(on), "left_anti")
+    return df.join(other.select(*on).distinct(), list(on), "left_anti")
 
 
 def pairs_on(left: DataFrame, right: DataFrame, on: Sequence[str], differ: tuple[str, str]) -> DataFrame:

@@ -42,8 +42,10 @@ def ts_outliers(
 
 
 def attach_outlier_flags(df: DataFrame, flags: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Left join of flag columns computed elsewhere; ``flags`` has one row per key."""
-    return df.join(flags, list(key), "left")
+    """Left join of flag columns computed elsewhere. If ``flags`` repeats a key, the smallest flags count."""
+    rest = [c for c in flags.columns if c not in key]
+    once = flags.groupBy(*key).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("__flags"))
+    return df.join(once.select(*key, "__flags.*"), list(key), "left")
 
 
 def trim_outliers(
@@ -69,7 +71,8 @@ def trim_outliers(
             F.percentile_approx(column, F.lit(upper), 10_000).alias("high"),
         )
     else:
-        band = exact_quantiles(df, column, [lower, upper], names=["low", "high"], **limits)
+        numbers = df.where(~F.isnan(F.col(column).cast("double")))  # NaN has no place in an order
+        band = exact_quantiles(numbers, column, [lower, upper], names=["low", "high"], **limits)
     limits_row = band.select(F.struct("low", "high").alias("b")).scalar()
     inside = F.col(column).between(limits_row.getField("low"), limits_row.getField("high"))
     return df.where((missing > max_null_ratio) | inside)

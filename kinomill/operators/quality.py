@@ -97,13 +97,13 @@ def timeliness(
 ) -> DataFrame:
     """Mean of 1 / (1 + age in days x update rate)."""
     today = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
-    age = F.date_diff(today, F.col(ts_column).cast("date")) + F.lit(1e-9)
+    age = F.date_diff(today, F.col(ts_column).try_cast("date")) + F.lit(1e-9)
     score = 1 / (1 + age * F.lit(float(update_rate)))
     return df.agg(F.lit(attribute).alias("attribute"), F.avg(score).alias("timeliness_score"))
 
 
 def _calendar(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
-    days = df.select(F.col(column).cast("date").alias("day")).where("day is not null").distinct()
+    days = df.select(F.col(column).try_cast("date").alias("day")).where("day is not null").distinct()
     span = days.agg(F.min("day").alias("first"), F.max("day").alias("last"))
     every = span.where("first is not null").select(F.explode(F.sequence("first", "last")).alias("day"))
     return days, every
@@ -124,7 +124,7 @@ def date_coverage(df: DataFrame, column: str) -> DataFrame:
 
 
 def is_complete_calendar(df: DataFrame, column: str) -> DataFrame:
-    days = df.select(F.col(column).cast("date").alias("day")).where("day is not null").distinct()
+    days = df.select(F.col(column).try_cast("date").alias("day")).where("day is not null").distinct()
     span = F.date_diff(F.max("day"), F.min("day")) + 1
     return days.agg(
         F.min("day").alias("first_day"),

@@ -20,13 +20,26 @@ from .ordered import exact_quantiles, null_safe_join, running_total
 
 QUERY_BLOCK = 2_048
 ENTITY_BLOCK = 4_096
-DIGITS = 9
+DIGITS = 9  # significant digits in which scores are compared
 HITS_AT = (1, 3, 5, 10)
 
 # Fixed value: scales the median absolute deviation to a normal standard deviation.
 MAD_SCALE = 1.482602218505602
 
 
+def comparable(score: Column) -> Column:
+    """The score in DIGITS significant digits (half to even), so that tiny vectors are told apart as well as large ones."""
+    unit = F.pow(F.lit(10.0), DIGITS - 1 - F.floor(F.log10(F.abs(score))))
+    return F.when(score == 0, F.lit(0.0)).otherwise(F.rint(score * unit) / unit)
+
+
+def _comparable(scores: np.ndarray) -> np.ndarray:
+    """The same for an array."""
+    size = np.abs(scores)
+    unit = 10.0 ** (DIGITS - 1 - np.floor(np.log10(np.where(size > 0, size, 1.0))))
+    return np.rint(scores * unit) / unit
+
+
 def _queries(triples: DataFrame, entities: DataFrame, relations: DataFrame) -> DataFrame:
     """Two rows per triple, one per side: the vector the candidate should meet on the plane."""
     head = entities.select(F.col("id").alias("h_id"), F.col("vector").alias("h"))
@@ -38,7 +51,7 @@ def _queries(triples: DataFrame, entities: DataFrame, relations: DataFrame) -> D
         .join(tail, "t_id")
         .join(relations.select(F.col("id").alias("r_id"), "w", "d"), "r_id")
     )
-    scored = score_transh(full).withColumn("score", F.round("score", DIGITS))
+    scored = score_transh(full).withColumn("score", comparable(F.col("score")))
     h_plane, t_plane = on_hyperplane(F.col("h"), F.col("w")), on_hyperplane(F.col("t"), F.col("w"))
     sides = F.array(
         F.struct(
@@ -69,7 +82,7 @@ def _count_cell(key, queries: pa.Table, entities: pa.Table) -> pa.Table:
     along = w @ e.T
     product = q @ e.T - along * np.einsum("ij,ij->i", q, w)[:, None]
     lengths = (e * e).sum(axis=1)[None, :] - along**2
-    scores = np.round(-((q * q).sum(axis=1)[:, None] - 2 * product + lengths), DIGITS)
+    scores = _comparable(-((q * q).sum(axis=1)[:, None] - 2 * product + lengths))
     own = queries.column("score").to_numpy()[:, None]
     other = queries.column("target").to_numpy()[:, None] != entities.column("id").to_numpy()[None, :]
     found = found.append_column("better", pa.array(((scores > own) & other).sum(axis=1), pa.int64()))

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordered import exact_quantiles, null_safe_join
 
 
+def finite(value: Column) -> Column:
+    """The value, or NULL where it is NaN or infinite."""
+    number = value.cast("double")
+    return F.when(~F.isnan(number) & (F.abs(number) != float("inf")), value)
+
+
 def top_groups(df: DataFrame, group: str, value: str, k: int = 5) -> DataFrame:
     """Rows of the ``k`` groups with the largest sum; ties by name."""
     best = df.groupBy(group).agg(F.sum(value).alias("__s")).orderBy(F.desc("__s"), group).limit(k)
@@ -22,10 +28,6 @@ def pivot_filled(df: DataFrame, index: str, column: str, value: str, values: Seq
     return wide.fillna(0, subset=[str(v) for v in values])
 
 
-def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    return df.select(column).distinct()
-
-
 def group_share(df: DataFrame, by: Sequence[str], value: str, share: str = "share") -> DataFrame:
     """Share of each row in its group's sum, in percent."""
     sums = df.groupBy(*by).agg(F.sum(value).alias("__s"))
@@ -35,7 +37,7 @@ def group_share(df: DataFrame, by: Sequence[str], value: str, share: str = "shar
 
 def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:
     """Least-squares line of ``y`` on ``x``; NULLs unless there are two rows."""
-    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    both = df.where(finite(F.col(x)).isNotNull() & finite(F.col(y)).isNotNull())
     enough = F.count(F.lit(1)) > 1
     return both.agg(
         F.count(F.lit(1)).alias("n"),
@@ -46,10 +48,11 @@ def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def _fenced(df: DataFrame, by: str, value: str, limits: dict) -> DataFrame:
+    df = df.where(finite(F.col(value)).isNotNull())
     quartiles = exact_quantiles(df, value, [0.25, 0.5, 0.75], [by], interpolate=True, names=["q1", "median", "q3"], **limits)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     fences = quartiles.select("*", (F.col("q1") - reach).alias("__lo"), (F.col("q3") + reach).alias("__hi"))
-    return null_safe_join(df.where(F.col(value).isNotNull()), fences, [by], "inner")
+    return null_safe_join(df, fences, [by], "inner")
 
 
 def box_stats(df: DataFrame, by: str, value: str, **limits) -> DataFrame:
@@ -76,9 +79,10 @@ def box_outliers(df: DataFrame, by: str, value: str, **limits) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """Equal-width bins over the range, last one closed; empty bins are listed.
 
-    A single value gets the range half a unit around it.
+    A single value gets the range half a unit around it. NaN and infinite
+    values are left out like missing ones.
     """
-    v = F.col(value).cast("double")
+    v = finite(F.col(value).cast("double"))
     low, high = F.min(v), F.max(v)
     span = df.agg(
         F.struct(

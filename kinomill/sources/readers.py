@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .schemas import ENTITY_INDEX, TRIPLES
@@ -34,11 +34,11 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_json_map(spark: SparkSession, path: str, value_type: str, layout: str = "file") -> DataFrame:
+def read_json_map(spark: SparkSession, path: str, value_type: str, layout: str = "lines") -> DataFrame:
     """JSON objects keyed by id to rows (key, value); null values stay NULL.
 
-    ``layout="file"`` takes one object per file, ``"lines"`` one per line. Only
-    the second can be split, so large inputs should come in lines.
+    ``layout="lines"`` takes one object per line, ``"file"`` one per file. Only
+    the first can be split, so large inputs should come in lines.
     """
     if layout not in ("file", "lines"):
         raise ValueError("layout is 'file' or 'lines'")
@@ -61,8 +61,24 @@ def read_zone(spark: SparkSession, root: str, zone: str, dataset: str) -> DataFr
     return spark.read.parquet(f"{root.rstrip('/')}/{zone}/{dataset}")
 
 
+def tsv_unescaped(text: Column) -> Column:
+    """Undo ``sinks.tsv_escaped``: pairs of backslashes are set apart first, so no escape is read across them."""
+
+    def plain(part: Column) -> Column:
+        for escaped, sign in (("\\t", "\t"), ("\\n", "\n"), ("\\r", "\r")):
+            part = F.replace(part, F.lit(escaped), F.lit(sign))
+        return part
+
+    parts = F.array_join(F.transform(F.split(text, r"\\\\"), plain), "\\")
+    return F.when(text == "\\N", None).when(F.contains(text, F.lit("\\")), parts).otherwise(text)
+
+
 def read_triples(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TRIPLES).option("sep", "\t").option("quote", "").csv(path)
+    """Statements as written by ``sinks.write_triples_tsv``; other TSV without escapes reads alike."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    fields = F.split("value", "\t", 3)
+    columns = [f.strip().split()[0] for f in TRIPLES.split(",")]
+    return lines.select(*[tsv_unescaped(F.get(fields, F.lit(i))).alias(c) for i, c in enumerate(columns)])
 
 
 def read_entity_index(spark: SparkSession, path: str) -> DataFrame:

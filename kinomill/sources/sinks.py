@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def write_zone(df: DataFrame, root: str, zone: str, dataset: str) -> str:
@@ -12,13 +13,29 @@ def write_zone(df: DataFrame, root: str, zone: str, dataset: str) -> str:
     return path
 
 
+def _writable(df: DataFrame, sep: str) -> DataFrame:
+    """The same rows; a value that the format cannot hold stops the job instead of breaking lines."""
+    pattern = r"[\r\n]|\Q" + sep + r"\E"
+
+    def checked(name: str, kind) -> Column:
+        c = F.col(f"`{name}`")
+        if not isinstance(kind, StringType):
+            return c
+        message = F.concat(F.lit(f"column {name} holds a separator or line break: "), F.substring(c, 1, 100))
+        return F.when(c.rlike(pattern), F.raise_error(message).cast("string")).otherwise(c).alias(name)
+
+    return df.select(*[checked(f.name, f.dataType) for f in df.schema.fields])
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = "::") -> None:
+    df = _writable(df, sep)
     df.write.mode("overwrite").option("sep", sep).option("quote", "").option("escapeQuotes", False).csv(path)
 
 
 def write_tsv_gz(df: DataFrame, path: str) -> None:
     (
-        df.write.mode("overwrite")
+        _writable(df, "\t")
+        .write.mode("overwrite")
         .option("sep", "\t")
         .option("header", True)
         .option("quote", "")
@@ -32,7 +49,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_triples_tsv(triples: DataFrame, path: str) -> None:
-    triples.select("s", "p", "o").write.mode("overwrite").option("sep", "\t").option("quote", "").csv(path)
+    """One statement per line; backslash, tab and line breaks inside a value are written as escapes, NULL as ``\\N``."""
+    values = [F.coalesce(tsv_escaped(F.col(c)), F.lit("\\N")) for c in ("s", "p", "o")]
+    triples.select(F.concat_ws("\t", *values).alias("value")).write.mode("overwrite").text(path)
 
 
 def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
@@ -50,6 +69,12 @@ def footprint(spark: SparkSession, source: str, target: str) -> DataFrame:
     return row.select("source_bytes", "target_bytes", F.round(saved, 1).alias("saved_percent"))
 
 
+def tsv_escaped(text: Column) -> Column:
+    for plain, escaped in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    return text
+
+
 def _escaped(text: Column) -> Column:
     """String escapes of the N-Triples grammar."""
     steps = (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"))
@@ -74,10 +99,10 @@ def write_ntriples(triples: DataFrame, path: str) -> None:
 def write_triples(triples: DataFrame, path: str) -> None:
     """Parquet, one folder per predicate, so that pattern queries read only theirs.
 
-    Rows stay in their partitions: a predicate with most of the triples is
-    written by all tasks.
+    Rows are rebalanced by predicate: small predicates get one file, large ones
+    are split over many tasks, so there are not tasks times predicates files.
     """
-    triples.write.mode("overwrite").partitionBy("p").parquet(path)
+    triples.hint("rebalance", "p").write.mode("overwrite").partitionBy("p").parquet(path)
 
 
 def write_observed(df: DataFrame, path: str, **metrics: Column) -> dict:

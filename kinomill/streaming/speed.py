@@ -47,7 +47,16 @@ def serving_sessions(emitted: DataFrame, rows: DataFrame, ts: str, gap: str, by:
     return emitted.unionByName(sessions(later.drop("__last"), ts, gap, by, **aggregates))
 
 
-def serving_view(batch: DataFrame, speed: DataFrame, ts: str) -> DataFrame:
-    """Batch table and the rows of the speed table beyond its high-water mark."""
-    mark = batch.agg(F.max(ts).alias("m")).scalar()
-    return batch.unionByName(speed.where(mark.isNull() | (F.col(ts) > mark)))
+def serving_view(batch: DataFrame, speed: DataFrame, ts: str, key: Sequence[str], lateness: str | None = None) -> DataFrame:
+    """Batch table and the rows of the speed table that it lacks, by ``key``.
+
+    Rows that tie with the newest batch row, come late, or have no time are kept.
+    ``lateness`` (an interval) spares the scan of speed rows older than that before
+    the newest batch row; use it only if nothing can be later.
+    """
+    if lateness is not None:
+        mark = batch.agg(F.max(ts).alias("m")).scalar()
+        recent = mark.isNull() | F.col(ts).isNull() | (F.col(ts) >= mark - F.expr(f"interval {lateness}"))
+        speed = speed.where(recent)
+    known = batch.select(*key).distinct()
+    return batch.unionByName(speed.join(known, list(key), "left_anti"))

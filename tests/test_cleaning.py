@@ -73,7 +73,7 @@ def test_json_object_per_file(spark, tmp_path):
         ' "known_for": [{"id": 10, "popularity": 1.0}, {"id": 11, "popularity": 2.0}]}},\n "nm2": null,\n'
         ' "nm3": {"imdb_id": "nm3", "tmdb_data": {"id": 6, "name": "N/A", "gender": 9, "known_for": []}}\n}'
     )
-    people = readers.read_json_map(spark, str(tmp_path / "p.json"), schemas.PERSON_PAYLOAD)
+    people = readers.read_json_map(spark, str(tmp_path / "p.json"), schemas.PERSON_PAYLOAD, layout="file")
     assert sorted((r["key"], r["value"] is None) for r in people.collect()) == [("nm1", False), ("nm2", True), ("nm3", False)]
     links = spark.createDataFrame([(1, "0000010", "10")], schemas.LINKS)
     got = formatted.format_crew_data(people, links)

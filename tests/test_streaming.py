@@ -78,5 +78,12 @@ def test_trusted_stream_keeps_no_state(spark, folder):
 
 def test_serving_view_without_batch_rows(spark):
     speed = spark.createDataFrame([(1,), (2,)], "t int")
-    assert S.serving_view(speed.where("false"), speed, "t").count() == 2
-    assert sorted(r.t for r in S.serving_view(speed.where("t = 1"), speed, "t").collect()) == [1, 2]
+    assert S.serving_view(speed.where("false"), speed, "t", ["t"]).count() == 2
+    assert sorted(r.t for r in S.serving_view(speed.where("t = 1"), speed, "t", ["t"]).collect()) == [1, 2]
+
+
+def test_serving_view_keeps_ties_and_late_rows(spark):
+    rows = [(1, 5), (2, 5), (3, 1), (4, None)]
+    speed = spark.createDataFrame(rows, "id int, t int")
+    view = S.serving_view(speed.where("id = 1"), speed, "t", ["id"])
+    assert sorted(r.id for r in view.collect()) == [1, 2, 3, 4]
