@@ -1,60 +1,41 @@
 """Ordered computations inside groups that may be very uneven.
 
 ``Window.partitionBy(key)`` puts a whole key in one task. When one key holds a
-large share of the rows that task becomes the job. Here, keys above twice the
-average partition size are cut into pieces along their order, each piece is one
-window partition, and what a piece needs from the others (an offset, a last
-value, a few preceding rows) comes from a small side table.
-
-With ``n`` pieces asked for, a key is cut only if it holds more than 2/n of the
-rows, so fewer than n/2 keys are cut, into fewer than 1.5 n pieces altogether:
-that bounds everything collected or broadcast below, whatever the data size.
-The cuts are literals of the plan, so a recomputed task cuts the same way.
+large share of the rows that task becomes the job. Here, rows are range
+partitioned by key and order, so a large key is cut by Spark's own range
+partitioner into as many pieces as it fills partitions, and small keys share
+one. Each (key, piece) is one window partition, and what a piece needs from the
+others (an offset, a last value, a few preceding rows) comes from a small side table.
+
+The partitioned rows are written once to a reliable checkpoint: pieces stay what
+they are however often a task is repeated, and the input is not read again. Rows that tie
+on the order are cut like others, by a number that is written with them.
+
+Neighbouring pieces share at most one key. Of n pieces, fewer than n keys
+therefore reach over a border, in fewer than 2n pieces altogether: that bounds
+everything broadcast below by the number of shuffle partitions.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-MIN_ROWS = 1_000_000
-MAX_PIECES = 2_000
-SAMPLE_PER_PIECE = 20
+from ..session import cut_lineage
 
 PIECE = "__piece"
 HALO = "__halo"
+TIE = "__tie"
 
 
-@dataclass(frozen=True)
-class Cuts:
-    """Cut points of the keys that are too large for one task."""
-
-    by: tuple[str, ...]
-    order: tuple[str, ...]
-    table: DataFrame  # by..., __cuts array<struct<order...>>
-
-    def label(self, df: DataFrame) -> DataFrame:
-        """Add the piece number; NULL for rows of uncut keys."""
-        here = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(self.order)])
-        marked = self._attach(df, self.table, "left")
-        passed = F.size(F.filter("__cuts", lambda cut: cut <= here))
-        return marked.withColumn(PIECE, F.when(F.col("__cuts").isNotNull(), passed)).drop("__cuts")
-
-    def with_piece_count(self, df: DataFrame) -> DataFrame:
-        """Add how many pieces the row's key has; only for rows of cut keys."""
-        counts = self.table.select(*self.by, (F.size("__cuts") + 1).alias("__pieces"))
-        return self._attach(df, counts, "inner")
-
-    def _attach(self, df: DataFrame, table: DataFrame, how: str) -> DataFrame:
-        """Look up the one extra column of ``table``; it is one value when there is no key."""
-        if self.by:
-            return null_safe_join(df, F.broadcast(table), self.by, how)
-        return df.withColumn(table.columns[-1], table.scalar())
+def range_pieces(df: DataFrame, by: Sequence[str], order: Sequence[str], pieces: int | None = None) -> DataFrame:
+    """``df`` with its piece number and a number that orders ties; written once."""
+    n = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [f"`{c}`" for c in dict.fromkeys([*by, *order])]
+    dealt = df.withColumn(TIE, F.monotonically_increasing_id()).repartitionByRange(n, *keys, TIE)
+    return cut_lineage(dealt.withColumn(PIECE, F.spark_partition_id()))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -71,70 +52,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(renamed, condition, how).drop(*[f"__r_{c}" for c in on])
 
 
-def _key_sizes(df: DataFrame, by: Sequence[str], pieces: int | None, min_rows: int):
-    """Rows per key, their sum, the number a key may have uncut, and whether one has more."""
-    n = pieces or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_PIECES)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))
-    total, largest = sizes.agg(F.sum("__rows"), F.max("__rows")).first()
-    limit = max(min_rows, 2 * -(-(total or 0) // n))
-    return n, sizes, total, limit, bool(largest) and largest > limit
-
-
-def has_large_key(df: DataFrame, by: Sequence[str], pieces: int | None = None, min_rows: int = MIN_ROWS) -> bool:
-    return _key_sizes(df, by, pieces, min_rows)[-1]
-
-
-def find_cuts(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    pieces: int | None = None,
-    min_rows: int = MIN_ROWS,
-) -> Cuts | None:
-    """Look at the key sizes (one small job) and cut the keys that need it."""
-    by, order = tuple(by), tuple(order)
-    spark = df.sparkSession
-    keyed = df.select(*by, *[c for c in order if c not in by])
-    n, sizes, total, limit, uneven = _key_sizes(keyed, by, pieces, min_rows)
-    if not uneven:
-        return None
-
-    # Fewer than n/2 rows by the choice of limit, so safe to broadcast.
-    hot = sizes.where(F.col("__rows") > limit)
-    rate = min(1.0, SAMPLE_PER_PIECE * n / total)
-    here = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)])
-    if by:
-        drawn = null_safe_join(keyed, F.broadcast(hot), by, "inner")
-    else:
-        drawn = keyed.withColumn("__rows", F.lit(total))
-    drawn = drawn.where(F.rand(7) <= rate)
-    drawn = drawn.select(*by, "__rows", here.alias("__at"))
-    ranked = Window.partitionBy(*by).orderBy("__at")
-    whole = Window.partitionBy(*by)
-    wanted = F.ceil(F.col("__rows") * 2 / limit)
-    step = F.floor((F.row_number().over(ranked) - 1) * wanted / F.count(F.lit(1)).over(whole))
-    cut_rows = (
-        drawn.select(*by, "__at", step.alias("__step"))
-        .groupBy(*by, "__step")
-        .agg(F.min("__at").alias("__at"))
-        .where("__step > 0")
-        .collect()
-    )
-    found = defaultdict(list)
-    for row in cut_rows:
-        found[tuple(row[c] for c in by)].append(row["__at"])
-    if not found:
-        return None
-    at_type = drawn.schema["__at"].dataType
-    schema = StructType(
-        [StructField(c, keyed.schema[c].dataType) for c in by] + [StructField("__cuts", ArrayType(at_type))]
-    )
-    return Cuts(by, order, spark.createDataFrame([(*key, cuts) for key, cuts in found.items()], schema))
-
-
-def _carried(per_piece: DataFrame, by: Sequence[str], **carries: Column) -> DataFrame:
-    """Turn a table with one row per piece into what each piece receives."""
-    return per_piece.select(*by, PIECE, *[col.alias(name) for name, col in carries.items()])
+def _across(per_piece: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of keys in several pieces, with the number of the piece among those of its key, from 0."""
+    key = Window.partitionBy(*by)
+    counted = per_piece.withColumn("__pieces", F.count(F.lit(1)).over(key))
+    numbered = counted.withColumn("__nth", F.row_number().over(key.orderBy(PIECE)) - 1)
+    return numbered.where("__pieces > 1")
 
 
 def _before(by):
@@ -152,37 +75,28 @@ def running_total(
     value: str,
     upto: str = "upto",
     total: str = "total",
-    may_cut: bool = True,
-    **limits,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Add the running sum of ``value`` (this row included) and the group sum.
 
     Rows that tie on ``order`` get running sums in an arbitrary order among
-    themselves, so callers pass an order without ties. ``may_cut=False`` skips
-    the look at the key sizes, for callers who know that none is large.
+    themselves, so callers pass an order without ties.
     """
-    by, order = tuple(by), tuple(order)
-    cuts = find_cuts(df, by, order, **limits) if may_cut else None
-    labelled = df.withColumn(PIECE, F.lit(None).cast(IntegerType())) if cuts is None else cuts.label(df)
-    group = (*by, PIECE) if cuts is not None else by
-    local = Window.partitionBy(*group)
-    running = local.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = labelled.select(
-        *labelled.columns, F.sum(value).over(running).alias(upto), F.sum(value).over(local).alias(total)
-    )
-    if cuts is None:
-        return summed.drop(PIECE)
-    per_piece = labelled.where(F.col(PIECE).isNotNull()).groupBy(*by, PIECE).agg(F.sum(value).alias("__sum"))
-    offsets = _carried(
-        per_piece,
-        by,
-        __carry_before=F.coalesce(F.sum("__sum").over(_before(by)), F.lit(0)),
-        __carry_total=F.sum("__sum").over(Window.partitionBy(*by)),
+    by = tuple(by)
+    placed = range_pieces(df, by, order, pieces)
+    piece = Window.partitionBy(*by, PIECE)
+    running = piece.orderBy(*order, TIE).rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.select(*df.columns, PIECE, F.sum(value).over(running).alias(upto), F.sum(value).over(piece).alias(total))
+    per_piece = placed.groupBy(*by, PIECE).agg(F.sum(value).alias("__sum"))
+    carried = _across(per_piece, by).select(
+        *by,
+        PIECE,
+        F.coalesce(F.sum("__sum").over(_before(by)), F.lit(0)).alias("__carry_before"),
+        F.sum("__sum").over(Window.partitionBy(*by)).alias("__carry_total"),
     )
-    joined = null_safe_join(summed, F.broadcast(offsets), (*by, PIECE), "left")
-    keep = [c for c in joined.columns if c not in (upto, total, PIECE, "__carry_before", "__carry_total")]
+    joined = null_safe_join(summed, F.broadcast(carried), (*by, PIECE), "left")
     return joined.select(
-        *keep,
+        *[c for c in df.columns if c not in (upto, total)],
         (F.col(upto) + F.coalesce("__carry_before", F.lit(0))).alias(upto),
         F.coalesce("__carry_total", total).alias(total),
     )
@@ -194,44 +108,40 @@ def neighbours(
     order: Sequence[str],
     columns: Sequence[str],
     position: str | None = None,
-    **limits,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Add ``__prev_c`` and ``__next_c``: nearest non-null value on each side.
 
     With ``position`` each is a struct (value, at) carrying that column too.
     """
-    by, order = tuple(by), tuple(order)
-    cuts = find_cuts(df, by, order, **limits)
-    labelled = df.withColumn(PIECE, F.lit(None).cast(IntegerType())) if cuts is None else cuts.label(df)
-    group = (*by, PIECE) if cuts is not None else by
+    by, order = tuple(by), (*order, TIE)
+    placed = range_pieces(df, by, order[:-1], pieces)
 
-    def carried_value(c):
+    def carried_value(c) -> Column:
         at = F.col(f"`{position}`") if position else F.lit(0)
         return F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.col(f"`{c}`").alias("value"), at.alias("at")))
 
-    ordered = Window.partitionBy(*group).orderBy(*order)
+    ordered = Window.partitionBy(*by, PIECE).orderBy(*order)
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     later = ordered.rowsBetween(1, Window.unboundedFollowing)
-    found = labelled.select(
-        *labelled.columns,
+    found = placed.select(
+        *df.columns,
+        PIECE,
         *[F.last(carried_value(c), ignorenulls=True).over(earlier).alias(f"__prev_{c}") for c in columns],
         *[F.first(carried_value(c), ignorenulls=True).over(later).alias(f"__next_{c}") for c in columns],
     )
-    if cuts is None:
-        return found.drop(PIECE)
-
     spot = F.struct(*order)
     edges = []
     for i, c in enumerate(columns):
         present = F.when(F.col(f"`{c}`").isNotNull(), spot)
         edges.append(F.max_by(carried_value(c), present).alias(f"__l{i}"))
         edges.append(F.min_by(carried_value(c), present).alias(f"__f{i}"))
-    per_piece = labelled.where(F.col(PIECE).isNotNull()).groupBy(*by, PIECE).agg(*edges)
-    carries = {}
+    across = _across(placed.groupBy(*by, PIECE).agg(*edges) if edges else placed.select(*by, PIECE).distinct(), by)
+    carries = []
     for i in range(len(columns)):
-        carries[f"__before{i}"] = F.last(f"__l{i}", ignorenulls=True).over(_before(by))
-        carries[f"__after{i}"] = F.first(f"__f{i}", ignorenulls=True).over(_after(by))
-    joined = null_safe_join(found, F.broadcast(_carried(per_piece, by, **carries)), (*by, PIECE), "left")
+        carries.append(F.last(f"__l{i}", ignorenulls=True).over(_before(by)).alias(f"__before{i}"))
+        carries.append(F.first(f"__f{i}", ignorenulls=True).over(_after(by)).alias(f"__after{i}"))
+    joined = null_safe_join(found, F.broadcast(across.select(*by, PIECE, *carries)), (*by, PIECE), "left")
     return joined.select(
         *df.columns,
         *[F.coalesce(f"__prev_{c}", f"__before{i}").alias(f"__prev_{c}") for i, c in enumerate(columns)],
@@ -239,37 +149,28 @@ def neighbours(
     )
 
 
-def with_halo(df: DataFrame, by: Sequence[str], order: Sequence[str], rows: int, **limits) -> tuple[DataFrame, list[str]]:
+def with_halo(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], rows: int, pieces: int | None = None
+) -> tuple[DataFrame, list[str]]:
     """Make frames of the last ``rows`` rows computable piece by piece.
 
-    Returns the frame with a ``__halo`` flag and the columns to partition the
-    window by. Each piece also gets copies (``__halo`` true) of the ``rows`` rows
-    before it; drop these after the window.
+    Returns the frame with a ``__halo`` flag (and ``__tie``, the last thing to order by) and
+    the columns to partition the window by. Each piece also gets copies
+    (``__halo`` true) of the ``rows`` rows before it; drop these after the window.
     """
-    by, order = tuple(by), tuple(order)
-    cuts = find_cuts(df, by, order, **limits)
-    if cuts is None:
-        return df.withColumn(HALO, F.lit(False)), list(by)
-    labelled = cuts.label(df)
-    from_end = Window.partitionBy(*by, PIECE).orderBy(*[F.col(f"`{c}`").desc() for c in order])
-    tails = (
-        labelled.where(F.col(PIECE).isNotNull())
-        .withColumn("__back", F.row_number().over(from_end))
-        .where(F.col("__back") <= rows)
-        .drop("__back")
-    )
-    # At most rows x pieces rows are left, so sending each to all later pieces stays small.
-    later = F.explode(F.sequence(F.col(PIECE) + 1, F.col("__pieces") - 1))
-    sent = (
-        cuts.with_piece_count(tails)
-        .where(F.col(PIECE) < F.col("__pieces") - 1)
-        .withColumn(PIECE, later)
-        .drop("__pieces")
-        .withColumn("__back", F.row_number().over(from_end))
-        .where(F.col("__back") <= rows)
-        .drop("__back")
-    )
-    both = labelled.withColumn(HALO, F.lit(False)).unionByName(sent.withColumn(HALO, F.lit(True)))
+    by = tuple(by)
+    placed = range_pieces(df, by, order, pieces)
+    across = _across(placed.select(*by, PIECE).distinct(), by).select(*by, PIECE, "__nth", "__pieces")
+    backwards = [F.col(f"`{c}`").desc() for c in (*order, TIE)]
+    from_end = Window.partitionBy(*by, PIECE).orderBy(*backwards)
+    tails = null_safe_join(placed, F.broadcast(across), (*by, PIECE), "inner")
+    tails = tails.withColumn("__back", F.row_number().over(from_end)).where(F.col("__back") <= rows).drop("__back", PIECE)
+    # Each piece has at least one row, so a row is among the last ``rows`` before at most that many later pieces.
+    reach = F.least(F.col("__nth") + rows, F.col("__pieces") - 1)
+    sent = tails.where(F.col("__nth") < F.col("__pieces") - 1).withColumn("__nth", F.explode(F.sequence(F.col("__nth") + 1, reach)))
+    to_piece = null_safe_join(sent.drop("__pieces"), F.broadcast(across.drop("__pieces")), (*by, "__nth"), "inner").drop("__nth")
+    to_piece = to_piece.withColumn("__back", F.row_number().over(from_end)).where(F.col("__back") <= rows).drop("__back")
+    both = placed.withColumn(HALO, F.lit(False)).unionByName(to_piece.withColumn(HALO, F.lit(True)))
     return both, [*by, PIECE]
 
 
@@ -292,9 +193,7 @@ def exact_quantiles(
     by = list(by)
     values = df.where(F.col(f"`{column}`").isNotNull())
     counts = values.groupBy(*by, F.col(f"`{column}`").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    # A group has no more distinct values than rows, and rows are cheaper to count.
-    uneven = has_large_key(values.select(*by), by, **limits)
-    ranked = running_total(counts, by, ["__v"], "__n", "__upto", "__total", may_cut=uneven, **limits)
+    ranked = running_total(counts, by, ["__v"], "__n", "__upto", "__total", **limits)
 
     def at_rank(rank):
         return F.max(F.when((F.col("__upto") >= rank) & (F.col("__upto") - F.col("__n") < rank), F.col("__v")))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import HALO, exact_quantiles, with_halo
+from .ordered import HALO, TIE, exact_quantiles, with_halo
 
 
 def ts_outliers(
@@ -27,7 +27,7 @@ def ts_outliers(
     increase, flag = f"increase_{column}", f"is_outlier_{column}"
     # A frame of w increases needs the w values before the row.
     padded, group = with_halo(df, by, order, window_size, **limits)
-    ordered = Window.partitionBy(*group).orderBy(*order)
+    ordered = Window.partitionBy(*group).orderBy(*order, TIE)
     step = padded.withColumn(
         increase, F.coalesce(F.col(column) - F.lag(column).over(ordered), F.lit(0.0))
     )

@@ -8,7 +8,8 @@ from kinomill.operators import impute, ordered
 from kinomill.operators.outliers import trim_outliers, ts_outliers
 from kinomill.operators.summaries import box_stats
 
-CUT = {"pieces": 8, "min_rows": 20}
+CUT = {"pieces": 8}
+WHOLE = {"pieces": 1}
 ORDER = ["ts", "event_id"]
 
 
@@ -20,18 +21,42 @@ def events(spark, small):
     return df.withColumn("user_id", hot).cache()
 
 
-def test_only_large_keys_are_cut(events):
-    cuts = ordered.find_cuts(events, ["user_id"], ORDER, **CUT)
-    table = cuts.table.select("user_id", F.size("__cuts").alias("n")).collect()
-    assert [r["user_id"] for r in table] == [None]
-    assert 1 <= table[0]["n"] < 8
-    assert ordered.find_cuts(events, ["user_id"], ORDER) is None
-
-
-def test_pieces_are_balanced(events):
-    cuts = ordered.find_cuts(events, [], ORDER, **CUT)
-    sizes = [r["count"] for r in cuts.label(events).groupBy(ordered.PIECE).count().collect()]
-    assert len(sizes) > 4 and max(sizes) < 2 * events.count() / 4
+def test_pieces_cut_the_large_key_and_are_balanced(events):
+    placed = ordered.range_pieces(events, ["user_id"], ORDER, 8)
+    sizes = [r["count"] for r in placed.groupBy(ordered.PIECE).count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 3 * events.count() / 8
+    several = placed.groupBy("user_id").agg(F.count_distinct(ordered.PIECE).alias("n")).where("n > 1").collect()
+    assert len(several) < 8 and max(r["n"] for r in several if r["user_id"] is None) > 1
+
+
+def test_one_key_of_one_order_value(spark, rows):
+    """Nine tenths of the rows tie on key and order; they are still cut, and sums are right."""
+    df = spark.range(2_000).select(
+        F.col("id"), F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1).alias("k"), F.lit(1).alias("o"), F.lit(1).alias("v")
+    )
+    placed = ordered.range_pieces(df, ["k"], ["o"], 8)
+    assert max(r["count"] for r in placed.groupBy(ordered.PIECE).count().collect()) < 3 * 2_000 / 8
+    got = ordered.running_total(df, ["k"], ["o"], "v", **CUT)
+    hot = sorted(r["upto"] for r in got.where("k = -1").collect())
+    assert hot == list(range(1, 1_801))
+    assert {r["total"] for r in got.where("k = -1").collect()} == {1_800}
+    padded, group = ordered.with_halo(df, ["k"], ["o"], 3, **CUT)
+    frame = Window.partitionBy(*group).orderBy("o", ordered.TIE).rowsBetween(-3, 0)
+    full = padded.withColumn("n", F.count("v").over(frame)).where("not __halo and k = -1")
+    assert sorted(r["n"] for r in full.collect())[:4] == [1, 2, 3, 4]
+
+
+def test_building_a_frame_writes_once(spark, events):
+    """Nothing but the partitioning of the rows runs before the first action."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    ordered.exact_quantiles(events, "value", [0.5], ["user_id"], **CUT)
+    built = len(tracker.getJobIdsForGroup("build"))
+    spark.sparkContext.setJobGroup("write", "write")
+    counts = events.groupBy("user_id", "value").agg(F.count(F.lit(1)).alias("n"))
+    ordered.range_pieces(counts, ["user_id"], ["value"], 8)
+    assert built <= len(tracker.getJobIdsForGroup("write"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @pytest.mark.parametrize("by", [["user_id"], []])
@@ -40,7 +65,7 @@ def test_running_total(events, rows, by):
         df = ordered.running_total(events, by, ORDER, "value", **limits)
         return rows(df, "event_id", F.round("upto", 6), F.round("total", 6))
 
-    assert result() == result(**CUT)
+    assert result(**WHOLE) == result(**CUT) == result()
 
 
 @pytest.mark.parametrize("by", [["user_id"], []])
@@ -50,7 +75,7 @@ def test_halo(events, rows, by):
         frame = Window.partitionBy(*group).orderBy(*ORDER).rowsBetween(-4, 0)
         return rows(df.withColumn("s", F.round(F.sum("value").over(frame), 6)).where("not __halo"), "event_id", "s")
 
-    assert result() == result(**CUT)
+    assert result(**WHOLE) == result(**CUT) == result()
 
 
 @pytest.mark.parametrize("mode", ["midpoint", "linear"])
@@ -62,14 +87,14 @@ def test_imputation(events, rows, mode, sparse):
     def result(**limits):
         return rows(impute.impute_midpoint(gappy, ORDER, ["user_id"], ["value"], mode=mode, **limits))
 
-    assert result() == result(**CUT)
+    assert result(**WHOLE) == result(**CUT) == result()
 
 
 def test_series_outliers(events, rows):
     def result(**limits):
         return rows(ts_outliers(events, "value", ORDER, ["user_id"], k=1.0, **limits))
 
-    assert result() == result(**CUT)
+    assert result(**WHOLE) == result(**CUT) == result()
 
 
 @pytest.mark.parametrize("interpolate", [True, False])

@@ -27,7 +27,7 @@ def test_split_covers_every_term(triples):
     assert sorted(map(tuple, E.split_triples(triples).collect())) == sorted(map(tuple, parts.collect()))
 
 
-@pytest.mark.parametrize("limits", [{}, {"pieces": 6, "min_rows": 3}])
+@pytest.mark.parametrize("limits", [{}, {"pieces": 6}])
 def test_ids_are_dense_and_ordered(triples, limits):
     got = sorted((r.id, r.entity) for r in E.index_entities(triples, **limits).collect())
     assert [i for i, _ in got] == list(range(len(got)))
@@ -68,7 +68,7 @@ def _brute(vectors, w, d, test, known):
 
 
 @pytest.mark.parametrize("copies", [False, True])
-@pytest.mark.parametrize("limits", [{}, {"pieces": 4, "min_rows": 5}])
+@pytest.mark.parametrize("limits", [{}, {"pieces": 4}])
 def test_ranks_in_blocks(spark, copies, limits):
     """Head 0 has most of the triples; blocks are far smaller than the data."""
     vectors, w, d, entities, relations = _model(spark, copies)
