@@ -42,6 +42,18 @@ def fold_accents(spark, d):
     return _documents(spark, d).select("doc_id", T.fold_accents(F.col("text")).alias("text"))
 
 
+def fold_signs(spark, d):
+    """Titles with signs of Latin-1, formatted: the no-break space is a space like others."""
+    key = F.col("p_partkey")
+    signs = F.when(key % 6 == 0, "WALL·E").when(key % 6 == 1, "Alien³").when(key % 6 == 2, "8½").when(
+        key % 6 == 3, "¡Three\u00a0\u00a0 Amigos!"
+    ).when(key % 6 == 4, "«x» 5°").otherwise("\u00a0plain\u00a0")
+    raw = D.table(spark, d, "part").select(
+        key.cast("string").alias("movie_id"), F.concat(signs, F.lit(" (1999)")).alias("movie_title"), F.col("p_type").alias("genres")
+    )
+    return formatted.format_movies(raw).select("movie_id", "movie_title", "movie_year")
+
+
 def strip_diacritics(spark, d):
     return _documents(spark, d).select("doc_id", T.fold_accents(F.col("text"), expand_letters=False).alias("text"))
 
@@ -183,7 +195,7 @@ def join_anti(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        normalize_whitespace, nullify_markers, format_values, fold_accents, strip_diacritics, title_year, split_list,
+        normalize_whitespace, nullify_markers, format_values, fold_accents, fold_signs, strip_diacritics, title_year, split_list,
         clean_array, prefix_id, safe_cast, epoch_to_timestamp, epoch_out_of_range, flag_to_bool, decode_codes, flatten_struct,
         explode_array, explode_array_outer, resolve_id, drop_column, canonical_timestamp, dedupe_rows, dedupe_key,
         join_left, join_semi, join_anti,
@@ -191,10 +203,20 @@ QUERIES = {
 }
 
 
+# Written out for the SQL, so that a letter missing in the library shows.
+_SPELLED = """
+ß ss|Æ AE|æ ae|Œ OE|œ oe|Ø O|ø o|Ł L|ł l|Đ D|đ d|Ð D|ð d|Þ Th|þ th|ı i|‘ ''|’ ''|“ "|” "|– -|— --|… ...
+¡ !|¢ C/|£ PS|¤ $?|¥ Y=|¦ |§ SS|¨ "|© (c)|ª a|« <<|¬ !|® (r)|¯ -|° deg|± +-|² 2|³ 3|´ ''|µ u|¶ P|· *|¸ ,
+¹ 1|º o|» >>|¼  1/4|½  1/2|¾  3/4|¿ ?|× x|÷ /
+"""
+
+
 def _folded(text: str) -> str:
-    for letter, plain in T.LETTERS_WITHOUT_DECOMPOSITION.items():
-        text = f"replace({text}, '{letter}', '{plain.replace(chr(39), chr(39) * 2)}')"
-    return text
+    for line in _SPELLED.strip().split("\n"):
+        for entry in line.split("|"):
+            letter, plain = entry[0], "|" if entry[0] == "¦" else entry[2:]
+            text = f"replace({text}, '{letter}', '{plain}')"
+    return f"replace(replace({text}, chr(160), ' '), chr(173), '')"
 
 
 _SQL_MARKED = "source"
@@ -213,6 +235,8 @@ ORACLE = {
     "format_values": "select doc_id, case when source not in ('', 'NA', 'N/A', 'NaN', 'NULL', '\\N') then source end as source, "
     f"lang, n_chars from (select doc_id, {_SQUEEZED.format('(' + _SQL_MARKED + ')')} as source, lang, n_chars from documents) x",
     "fold_accents": f"select doc_id, {_folded('strip_accents(text)')} as text from documents",
+    "fold_signs": "select 'tt' || cast(p_partkey as varchar) as movie_id, case p_partkey % 6 when 0 then 'WALL*E' when 1 then 'Alien3' "
+    "when 2 then '8 1/2' when 3 then '!Three Amigos!' when 4 then '<<x>> 5deg' else 'plain' end as movie_title, 1999 as movie_year from part",
     "strip_diacritics": "select doc_id, strip_accents(text) as text from documents",
     "title_year": "select p_partkey, regexp_replace(trim(t), '\\s*\\(\\d{4}\\)$', '') as title, "
     "try_cast(nullif(regexp_extract(trim(t), '\\((\\d{4})\\)$', 1), '') as int) as year "

@@ -22,6 +22,14 @@ LETTERS_WITHOUT_DECOMPOSITION = {
     "—": "--", "…": "...",
 }
 
+# Latin-1 signs and spaces and their usual ASCII spelling.
+LATIN1_SIGNS = {
+    "\u00a0": " ", "¡": "!", "¢": "C/", "£": "PS", "¤": "$?", "¥": "Y=", "¦": "|", "§": "SS", "¨": '"', "©": "(c)",
+    "ª": "a", "«": "<<", "¬": "!", "\u00ad": "", "®": "(r)", "¯": "-", "°": "deg", "±": "+-", "²": "2", "³": "3",
+    "´": "'", "µ": "u", "¶": "P", "·": "*", "¸": ",", "¹": "1", "º": "o", "»": ">>", "¼": " 1/4", "½": " 1/2",
+    "¾": " 3/4", "¿": "?", "×": "x", "÷": "/",
+}
+
 # Blocks whose letters decompose: Latin-1 Supplement to Latin Extended-B, Latin Extended Additional.
 _LATIN_BLOCKS = (range(0x00C0, 0x0250), range(0x1E00, 0x1F00))
 
@@ -75,7 +83,7 @@ def format_values(df: DataFrame, markers: Iterable[str] = NA_MARKERS) -> DataFra
 
 
 def fold_accents(col: Column, expand_letters: bool = True) -> Column:
-    """Drop diacritics. ``expand_letters`` also spells out ß, Æ, ø and typographic quotes.
+    """Drop diacritics. ``expand_letters`` also spells out ß, Æ, ø, typographic quotes and Latin-1 signs.
 
     Text of plain ASCII is passed on after one quick look.
     """
@@ -87,8 +95,9 @@ def _folded(col: Column, expand_letters: bool) -> Column:
     marks_gone = F.regexp_replace(F.translate(col, _ACCENTED, _PLAIN), r"[\u0300-\u036F]", "")
     if not expand_letters:
         return marks_gone
-    single = {k: v for k, v in LETTERS_WITHOUT_DECOMPOSITION.items() if len(v) == 1}
-    longer = {k: v for k, v in LETTERS_WITHOUT_DECOMPOSITION.items() if len(v) > 1}
+    spelled = LETTERS_WITHOUT_DECOMPOSITION | LATIN1_SIGNS
+    single = {k: v for k, v in spelled.items() if len(v) == 1}
+    longer = {k: v for k, v in spelled.items() if len(v) != 1}
     short = F.translate(marks_gone, "".join(single), "".join(single.values()))
     return reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), longer.items(), short)
 

@@ -278,21 +278,22 @@ def remove_repeats(docs: DataFrame, window: int = 20, prefix: int = 8, group_lea
     anchors = _anchors(rows, window, prefix)
     repeated = cut_lineage(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     any_hot = not repeated.where(F.col("n") > group_leaves).isEmpty()
-    wanted = anchors.join(repeated, "gram").select("row", "place", (F.col("n") > group_leaves).alias("hot"))
+    met = anchors.join(repeated, "gram").select("row", "place", (F.col("n") > group_leaves).alias("hot"))
+    places = [F.collect_set(F.when(F.col("hot") == hot, F.col("place"))).alias(name) for name, hot in (("cold", False), ("hot", True))]
+    wanted = cut_lineage(met.groupBy("row").agg(*places))
     # One shuffle of the texts serves the search and the result. An inner join adds this filter of its own below the
     # shuffle; with it on both sides Spark sees that they are the same.
     dealt = _packed(rows).where("row is not null").repartition("row")
     tasks = task_count(docs.sparkSession)
 
-    def placed(hot: bool) -> DataFrame:
-        places = wanted.where(F.col("hot") == hot).groupBy("row").agg(F.collect_set("place").alias("places"))
-        joined = dealt.join(places, "row")
+    def placed(name: str) -> DataFrame:
+        joined = dealt.join(wanted.where(F.size(name) > 0).select("row", F.col(name).alias("places")), "row")
         return joined.select("row", F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), "packed", "places")
 
-    leaves = _leaves(placed(False), window, prefix).repartition(tasks, "gram").sortWithinPartitions("gram")
+    leaves = _leaves(placed("cold"), window, prefix).repartition(tasks, "gram").sortWithinPartitions("gram")
     found = leaves.mapInArrow(_subtrees(window, prefix), "row long, place int, flags int")
     if any_hot:
-        deep = cut_lineage(_full_windows(placed(True), window, prefix).distinct())
+        deep = _full_windows(placed("hot"), window, prefix)
         first = deep.groupBy("one", "two").agg(F.min(F.struct("doc_id", "start")).alias("first"))
         later = deep.join(first, ["one", "two"]).where(F.struct("doc_id", "start") > F.col("first"))
         found = found.unionByName(later.select("row", F.col("start").alias("place"), F.lit(1).alias("flags")))

@@ -65,6 +65,43 @@ def map_triples(parts: Sequence[Part]) -> DataFrame:
     )
 
 
+def map_entailed(parts: Sequence[Part], schema: Sequence[tuple[str, str | None, str | None]]) -> DataFrame:
+    """Types that follow for the statements of all parts from (property, domain, range).
+
+    The code of a statement fixes its property, so what follows from it is a
+    constant: no join, and only (class code, variable part) is shuffled.
+    """
+    codes: dict[tuple, int] = {}
+    coded = [_coded(df, statements, codes) for df, statements in parts]
+    rules = {p: (domain, range_) for p, domain, range_ in schema}
+    derived: dict[tuple[str, str], int] = {}
+    follow = []
+    for subject, predicate, target, kind, _ in codes:
+        domain, range_ = rules.get(predicate, (None, None))
+        here = [(derived.setdefault((subject, domain), len(derived)), False)] if domain else []
+        if range_ and kind == "iri":
+            here.append((derived.setdefault((target, range_), len(derived)), True))
+        made = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(of_object).alias("of_object")) for d, of_object in here])
+        follow.append(made.cast("array<struct<d:int,of_object:boolean>>"))
+    if not derived:
+        raise ValueError("no statement uses a property of the schema")
+    merged = reduce(lambda a, b: a.unionByName(b), coded)
+    each = merged.select("s", "o", F.inline(F.array(*follow)[F.col("code")]))
+    pairs = each.select("d", F.when(F.col("of_object"), F.col("o")).otherwise(F.col("s")).alias("part")).distinct()
+
+    def looked_up(values):
+        return F.array(*[F.lit(v) for v in values])[F.col("d")]
+
+    prefixes, classes = zip(*derived)
+    return _typed(pairs.select(F.concat(looked_up(prefixes), F.col("part")).alias("s"), looked_up(classes).alias("o")))
+
+
+def _typed(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
+        "s", F.lit(RDF_TYPE).alias("p"), "o", F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_type")
+    )
+
+
 def _coded(df: DataFrame, statements: Sequence[Statement], codes: dict) -> DataFrame:
     terms: dict[int, tuple[str, Column]] = {}
 
@@ -94,11 +131,12 @@ def distinct_triples(*parts: DataFrame) -> DataFrame:
 
 
 def entail_types(triples: DataFrame, schema: DataFrame) -> DataFrame:
-    """Types that follow from property domains and ranges.
+    """Types that follow from property domains and ranges, for statements at hand.
 
-    ``schema`` is the property table of the model: its size is fixed, so it is broadcast.
+    ``schema`` (property, domain, range) may be of any size; Spark broadcasts it if it is small.
+    Statements that are still to be mapped need no join: ``map_entailed``.
     """
-    typed = triples.join(F.broadcast(schema), F.col("p") == F.col("property"))
+    typed = triples.join(schema, F.col("p") == F.col("property"))
     derived = F.array(
         F.when(F.col("domain").isNotNull(), F.struct(F.col("s").alias("s"), F.col("domain").alias("o"))),
         F.when(
@@ -106,14 +144,7 @@ def entail_types(triples: DataFrame, schema: DataFrame) -> DataFrame:
             F.struct(F.col("o").alias("s"), F.col("range").alias("o")),
         ),
     )
-    pairs = typed.select(F.inline(derived)).where("s is not null").distinct()
-    return pairs.select(
-        "s",
-        F.lit(RDF_TYPE).alias("p"),
-        "o",
-        F.lit("iri").alias("o_kind"),
-        F.lit(None).cast("string").alias("o_type"),
-    )
+    return _typed(typed.select(F.inline(derived)).where("s is not null").distinct())
 
 
 def with_entailed(triples: DataFrame, schema: DataFrame) -> DataFrame:

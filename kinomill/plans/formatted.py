@@ -14,9 +14,9 @@ GENDER_CODES = {0: "NotSet", 1: "Female", 2: "Male", 3: "Non-binary"}
 
 
 def format_movies(raw: DataFrame) -> DataFrame:
-    """``Name (YYYY)`` split up; ids prefixed; genres as array."""
-    clean = format_values(raw, NA_MARKERS)
-    title = squeeze(fold_accents(S.strip_year(F.col("movie_title"))))
+    """``Name (YYYY)`` split up; ids prefixed; genres as array. Titles are folded first, so a no-break space is a space."""
+    clean = format_values(raw.withColumn("movie_title", fold_accents(F.col("movie_title"))), NA_MARKERS)
+    title = squeeze(S.strip_year(F.col("movie_title")))
     return clean.select(
         S.prefix_id(F.col("movie_id"), "tt").alias("movie_id"),
         missing_if_marker(title).alias("movie_title"),
@@ -40,12 +40,13 @@ def format_ratings(raw: DataFrame) -> DataFrame:
 
 
 def format_title_basics(raw: DataFrame) -> DataFrame:
-    clean = format_values(raw, NA_MARKERS_BACKSLASH)
+    folded = raw.withColumns({c: fold_accents(F.col(c)) for c in ("primaryTitle", "originalTitle")})
+    clean = format_values(folded, NA_MARKERS_BACKSLASH)
     return clean.select(
         "tconst",
         "titleType",
-        fold_accents(F.col("primaryTitle")).alias("primaryTitle"),
-        fold_accents(F.col("originalTitle")).alias("originalTitle"),
+        "primaryTitle",
+        "originalTitle",
         S.int_to_bool(F.col("isAdult")).alias("isAdult"),
         "startYear",
         "endYear",
@@ -92,6 +93,5 @@ def format_crew_data(payload: DataFrame, links: DataFrame, keep_without_titles:
         S.resolve_id(F.col("link_imdb"), F.col("work_id")).alias("known_for"),
         "known_for_popularity",
     )
-    return format_values(shaped, NA_MARKERS).withColumns(
-        {c: fold_accents(F.col(c)) for c in ("name", "original_name")}
-    )
+    folded = shaped.withColumns({c: fold_accents(F.col(c)) for c in ("name", "original_name")})
+    return format_values(folded, NA_MARKERS)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import canonical_ts, iri_part
-from ..operators.triples import Part, Statement, Term, map_triples
+from ..operators.triples import Part, Statement, Term, map_entailed, map_triples
 
 DEFAULT_NAMESPACE = "http://example.org/kg/"
 XSD = "http://www.w3.org/2001/XMLSchema#"
@@ -126,98 +126,102 @@ def rating_parts(df: DataFrame, v: Vocabulary) -> list[Part]:
     return [(df, statements)]
 
 
-def _genre_part(df: DataFrame, movie_id: str, v: Vocabulary) -> Part:
-    named = df.select(movie_id, F.explode("genres").alias("g")).where("g is not null and g != ''")
-    movie, genre = v.entity("Movie", F.col(movie_id)), v.entity("Genre", F.col("g"))
-    return named, [v.a(genre, "Genre"), v.value(genre, "genre_name", F.col("g")), v.link(movie, "has_genre", genre)]
+def itemised(df: DataFrame, *arrays: str) -> DataFrame:
+    """Each row once for itself (kind -1) and once per element of its arrays: ``item`` (kind, pos, value).
+
+    Kinds are numbered as the arrays are given. One pass over the rows serves
+    the statements about a row and those about its elements.
+    """
+    kind = "array<struct<kind:int,pos:int,value:string>>"
+
+    def elements(number: int, name: str) -> Column:
+        made = F.transform(
+            name, lambda x, i: F.struct(F.lit(number).alias("kind"), i.cast("int").alias("pos"), x.cast("string").alias("value"))
+        )
+        return F.coalesce(made.cast(kind), F.array().cast(kind))
+
+    itself = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(0).alias("pos"), F.lit(None).cast("string").alias("value"))).cast(kind)
+    return df.select("*", F.explode(F.concat(itself, *[elements(i, a) for i, a in enumerate(arrays)])).alias("item"))
+
+
+def _kind(number: int) -> Column:
+    return F.col("item.kind") == number
+
+
+def _genres(movie: Term, v: Vocabulary) -> list[Statement]:
+    """Statements of the elements of the first array."""
+    value = F.col("item.value")
+    genre, named = v.entity("Genre", value), _kind(0) & (value != "")
+    return [v.a(genre, "Genre", named), v.value(genre, "genre_name", value, named), v.link(movie, "has_genre", genre, named)]
 
 
 def movie_parts(df: DataFrame, v: Vocabulary) -> list[Part]:
-    known = df.where(F.col("movie_id").startswith("tt"))
-    movie = v.entity("Movie", F.col("movie_id"))
+    known = itemised(df.where(F.col("movie_id").startswith("tt")), "genres")
+    movie, row = v.entity("Movie", F.col("movie_id")), _kind(-1)
     statements = [
-        v.a(movie, "Movie"),
-        v.value(movie, "title", F.col("movie_title")),
-        v.value(movie, "movieId", F.col("movie_id")),
+        v.a(movie, "Movie", row),
+        v.value(movie, "title", F.col("movie_title"), row),
+        v.value(movie, "movieId", F.col("movie_id"), row),
+        *_genres(movie, v),
     ]
-    return [(known, statements), _genre_part(known, "movie_id", v)]
+    return [(known, statements)]
 
 
 def title_parts(df: DataFrame, v: Vocabulary) -> list[Part]:
-    known = df.where(F.col("tconst").startswith("tt"))
-    movie = v.entity("Movie", F.col("tconst"))
+    known = itemised(df.where(F.col("tconst").startswith("tt")), "genres")
+    movie, row = v.entity("Movie", F.col("tconst")), _kind(-1)
     statements = [
-        v.a(movie, "Movie"),
-        v.value(movie, "title", F.col("primaryTitle")),
-        v.value(movie, "movieId", F.col("tconst")),
-        v.value(movie, "startYear", F.col("startYear")),
-        v.value(movie, "runtime", F.col("runtimeMinutes")),
+        v.a(movie, "Movie", row),
+        v.value(movie, "title", F.col("primaryTitle"), row),
+        v.value(movie, "movieId", F.col("tconst"), row),
+        v.value(movie, "startYear", F.col("startYear"), row),
+        v.value(movie, "runtime", F.col("runtimeMinutes"), row),
+        *_genres(movie, v),
     ]
-    return [(known, statements), _genre_part(known, "tconst", v)]
+    return [(known, statements)]
 
 
 def name_parts(df: DataFrame, v: Vocabulary) -> list[Part]:
     """First profession is the primary one; known-for titles need one to exist."""
-    known = df.where(F.col("nconst").startswith("nm"))
-    person = v.entity("Person", F.col("nconst"))
-    facts = (
-        known,
-        [
-            v.a(person, "Person"),
-            v.value(person, "personId", F.col("nconst")),
-            v.value(person, "name", F.col("primaryName")),
-            v.value(person, "birthYear", F.col("birthYear")),
-            v.value(person, "deathYear", F.col("deathYear")),
-        ],
-    )
-    jobs = known.select("nconst", F.posexplode("primaryProfession").alias("pos", "job"))
-    job = v.entity("Profession", F.col("job"))
-    professions = (
-        jobs,
-        [
-            v.a(job, "Profession"),
-            v.value(job, "profession_name", F.col("job")),
-            v.link(person, "primary_profession", job, F.col("pos") == 0),
-            v.link(person, "alternative_profession", job, F.col("pos") > 0),
-        ],
-    )
-    titled = known.where(F.size("primaryProfession") > 0).select("nconst", F.explode("knownForTitles").alias("t"))
-    movie, work = v.entity("Movie", F.col("t")), v.entity("Known_for", F.col("nconst"), F.col("t"))
-    works = (
-        titled,
-        [
-            v.a(movie, "Movie"),
-            v.a(work, "Known_for"),
-            v.link(person, "isKnownfor", work),
-            v.link(work, "known_for_movie", movie),
-        ],
-    )
-    return [facts, professions, works]
+    known = itemised(df.where(F.col("nconst").startswith("nm")), "primaryProfession", "knownForTitles")
+    person, value, row = v.entity("Person", F.col("nconst")), F.col("item.value"), _kind(-1)
+    job, first = v.entity("Profession", value), F.col("item.pos") == 0
+    titled = _kind(1) & (F.size("primaryProfession") > 0)
+    movie, work = v.entity("Movie", value), v.entity("Known_for", F.col("nconst"), value)
+    statements = [
+        v.a(person, "Person", row),
+        v.value(person, "personId", F.col("nconst"), row),
+        v.value(person, "name", F.col("primaryName"), row),
+        v.value(person, "birthYear", F.col("birthYear"), row),
+        v.value(person, "deathYear", F.col("deathYear"), row),
+        v.a(job, "Profession", _kind(0)),
+        v.value(job, "profession_name", value, _kind(0)),
+        v.link(person, "primary_profession", job, _kind(0) & first),
+        v.link(person, "alternative_profession", job, _kind(0) & ~first),
+        v.a(movie, "Movie", titled),
+        v.a(work, "Known_for", titled),
+        v.link(person, "isKnownfor", work, titled),
+        v.link(work, "known_for_movie", movie, titled),
+    ]
+    return [(known, statements)]
 
 
 def crew_parts(df: DataFrame, v: Vocabulary) -> list[Part]:
     """One Participates node per (person, movie), whatever the number of roles."""
-    known = df.where(F.col("tconst").startswith("tt"))
-    movie = v.entity("Movie", F.col("tconst"))
-    parts = [(known, [v.a(movie, "Movie")])]
-    for array, role in (("directors", "director"), ("writers", "writer")):
-        credits = known.select("tconst", F.explode(array).alias("who"))
-        person, job = v.entity("Person", F.col("who")), v.entity("Profession", F.lit(role))
-        node = v.entity("Participates", F.col("who"), F.col("tconst"))
-        parts.append(
-            (
-                credits,
-                [
-                    v.a(person, "Person"),
-                    v.a(node, "Participates"),
-                    v.a(job, "Profession"),
-                    v.link(node, "participates_role", job),
-                    v.link(node, "participates_person", person),
-                    v.link(node, "participates_movie", movie),
-                ],
-            )
-        )
-    return parts
+    known = itemised(df.where(F.col("tconst").startswith("tt")), "directors", "writers")
+    movie, who, credit = v.entity("Movie", F.col("tconst")), F.col("item.value"), ~_kind(-1) & F.col("item.value").isNotNull()
+    person, node = v.entity("Person", who), v.entity("Participates", who, F.col("tconst"))
+    job = v.entity("Profession", F.when(_kind(0), "director").otherwise("writer"))
+    statements = [
+        v.a(movie, "Movie", _kind(-1)),
+        v.a(person, "Person", credit),
+        v.a(node, "Participates", credit),
+        v.a(job, "Profession", credit),
+        v.link(node, "participates_role", job, credit),
+        v.link(node, "participates_person", person, credit),
+        v.link(node, "participates_movie", movie, credit),
+    ]
+    return [(known, statements)]
 
 
 PARTS = {
@@ -233,3 +237,9 @@ PARTS = {
 def graph(tables: dict[str, DataFrame], v: Vocabulary = Vocabulary()) -> DataFrame:
     """Statements of any of the six trusted tables, merged as one set."""
     return map_triples([part for name, df in tables.items() for part in PARTS[name](df, v)])
+
+
+def entailed(tables: dict[str, DataFrame], v: Vocabulary = Vocabulary()) -> DataFrame:
+    """Types that the model's domains and ranges give to the statements of the tables, straight from their codes."""
+    schema = [(v.term(p), v.term(d), v.range_of(p)) for p, d, _ in PROPERTIES]
+    return map_entailed([part for name, df in tables.items() for part in PARTS[name](df, v)], schema)

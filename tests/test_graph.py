@@ -68,6 +68,22 @@ def test_one_node_for_two_roles(spark):
     assert {r.o for r in roles} == {P("Profession/director"), P("Profession/writer")}
 
 
+def test_one_scan_per_source_and_entailment_without_join(spark, small):
+    """Types straight from the codes equal those derived from the finished statements."""
+    from kinomill.catalog import graph as catalog
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    for name in ("movies", "title_basics"):
+        assert plan(M.graph({name: catalog._TABLES[name](spark, small)}, V)).count("FileScan") == 1
+    tables = {name: catalog._TABLES[name](spark, small) for name in ("movies", "title_basics")}
+    direct = M.entailed(tables, V)
+    assert "Join" not in plan(direct)
+    derived = T.entail_types(M.graph(tables, V), V.schema(spark))
+    assert direct.exceptAll(derived).count() == derived.exceptAll(direct).count() == 0
+
+
 def test_entailment(spark):
     t = spark.createDataFrame(
         [("a", P("has_genre"), "g", "iri", None), ("b", P("title"), "T", "literal", M.XSD + "string"), ("c", "other", "d", "iri", None)],
