@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-GROUPS = ("analysis", "cleaning", "rules", "quality", "graph", "storage", "streams", "vectors")
+GROUPS = ("analysis", "cleaning", "rules", "quality", "graph", "storage", "streams", "vectors", "chain")
 
 
 def _collect(attribute: str) -> dict:

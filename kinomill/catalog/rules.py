@@ -248,7 +248,10 @@ ORACLE = {
     "trust_violations": with_views(
         "select imdb_id, known_for, rtrim((case when popularity >= 0 then '' else 'in_range(popularity);' end) || "
         "(case when gender = 'NotSet' then 'in_domain(gender);' else '' end), ';') as violated from crew_data "
-        "where popularity < 0 or gender = 'NotSet'",
+        "where popularity < 0 or gender = 'NotSet' "
+        f"union all select imdb_id, known_for, 'in_band(popularity)' from crew_data where {_PERSON_OK} "
+        f"and not popularity between (select quantile_disc(popularity, 0.05) from crew_data where {_PERSON_OK}) "
+        f"and (select quantile_disc(popularity, 0.95) from crew_data where {_PERSON_OK})",
         "crew_data",
     ),
     "trust_ratings": with_views(

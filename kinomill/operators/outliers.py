@@ -58,7 +58,21 @@ def trim_outliers(
     approximate: bool = False,
     **limits,
 ) -> DataFrame:
-    """Keep the percentile band (inclusive) if few enough values are missing.
+    """Keep the percentile band (inclusive) if few enough values are missing."""
+    return split_outliers(df, column, lower, upper, max_null_ratio, before, approximate, **limits)[0]
+
+
+def split_outliers(
+    df: DataFrame,
+    column: str,
+    lower: float = 0.05,
+    upper: float = 0.95,
+    max_null_ratio: float = 0.1,
+    before: DataFrame | None = None,
+    approximate: bool = False,
+    **limits,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows inside the percentile band and those outside.
 
     The share of missing values is taken from ``before``, the table as it was
     ahead of other constraints; the percentiles come from ``df``.
@@ -75,4 +89,5 @@ def trim_outliers(
         band = exact_quantiles(numbers, column, [lower, upper], names=["low", "high"], **limits)
     limits_row = band.select(F.struct("low", "high").alias("b")).scalar()
     inside = F.col(column).between(limits_row.getField("low"), limits_row.getField("high"))
-    return df.where((missing > max_null_ratio) | inside)
+    keep = F.coalesce((missing > max_null_ratio) | inside, F.lit(False))
+    return df.where(keep), df.where(~keep)

@@ -13,7 +13,7 @@ from ..functions import scalars as S
 from ..operators import constraints as C
 from ..operators import quality
 from ..operators.dedupe import dedupe_rows
-from ..operators.outliers import trim_outliers
+from ..operators.outliers import split_outliers
 
 FIRST_YEAR = 1800
 
@@ -115,9 +115,12 @@ def prepare(df: DataFrame, treatment: Treatment) -> DataFrame:
     return df.withColumns(arrays) if arrays else df
 
 
-def metrics(df: DataFrame) -> DataFrame:
-    """Profile, completeness and redundancy as (metric, column, value) rows, in two passes."""
-    profiled = quality.profile(df).withColumn("missing_ratio", 1 - F.col("value_count") / F.when(F.col("row_count") > 0, F.col("row_count")))
+def metrics(df: DataFrame, approximate: bool = False) -> DataFrame:
+    """Profile, completeness and redundancy as (metric, column, value) rows, in two passes.
+
+    Exact distinct counts multiply the rows by the number of columns; ``approximate`` uses sketches.
+    """
+    profiled = quality.profile(df, approximate).withColumn("missing_ratio", 1 - F.col("value_count") / F.when(F.col("row_count") > 0, F.col("row_count")))
     measures = ("distinct_count", "value_count", "missing_ratio", "mean", "stddev", "min", "max")
     per_column = profiled.select("column", _long(measures)).where("value is not null")
     whole = quality.whole_rows(df).select(F.lit(None).cast("string").alias("column"), _long(("complete_ratio", "redundancy_factor")))
@@ -134,6 +137,7 @@ def trust(
     as_of: date | str | None = None,
     null_arrays: str = "drop",
     dedupe: bool | None = None,
+    approximate: bool = False,
     **limits,
 ) -> Trusted:
     """Clean rows, rows that failed with the rules they failed, and metrics of the input."""
@@ -141,11 +145,14 @@ def trust(
     rules = treatment.rules(as_of=as_of, null_arrays=null_arrays)
     ready = prepare(df, treatment)
     clean = C.apply_constraints(ready, rules)
-    clean = S.drop_if_exists(clean, *treatment.drops)
+    failed = C.violations(ready, rules)
     if treatment.band:
-        clean = trim_outliers(clean, treatment.band, before=df, **limits)
+        kept, cut = split_outliers(clean, treatment.band, before=df, **limits)
+        reason = F.array(F.lit(f"in_band({treatment.band})"))
+        clean, failed = kept, failed.unionByName(cut.withColumn("violated", reason))
+    clean = S.drop_if_exists(clean, *treatment.drops)
     if treatment.timestamps:
         clean = clean.withColumns({c: S.canonical_ts(F.col(c)) for c in treatment.timestamps})
     if treatment.dedupe if dedupe is None else dedupe:
         clean = dedupe_rows(clean)
-    return Trusted(clean, C.violations(ready, rules), metrics(df))
+    return Trusted(clean, failed, metrics(df, approximate))
