@@ -47,32 +47,36 @@ def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
-def _fenced(df: DataFrame, by: str, value: str, limits: dict) -> DataFrame:
-    df = df.where(finite(F.col(value)).isNotNull())
+def _fences(df: DataFrame, by: str, value: str, limits: dict) -> DataFrame:
     quartiles = exact_quantiles(df, value, [0.25, 0.5, 0.75], [by], interpolate=True, names=["q1", "median", "q3"], **limits)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    fences = quartiles.select("*", (F.col("q1") - reach).alias("__lo"), (F.col("q3") + reach).alias("__hi"))
-    return null_safe_join(df, fences, [by], "inner")
+    return quartiles.select("*", (F.col("q1") - reach).alias("__lo"), (F.col("q3") + reach).alias("__hi"))
 
 
 def box_stats(df: DataFrame, by: str, value: str, **limits) -> DataFrame:
-    """Quartiles, whiskers (last values within 1.5 IQR) and number of outliers per group."""
+    """Quartiles, whiskers (last values within 1.5 IQR) and number of outliers per group.
+
+    Only the histogram of (group, value) meets the fences, not the rows.
+    """
     inside = F.col(value).between(F.col("__lo"), F.col("__hi"))
+    numbers = df.where(finite(F.col(value)).isNotNull())
+    counts = numbers.groupBy(by, value).agg(F.count(F.lit(1)).alias("__n"))
     return (
-        _fenced(df, by, value, limits)
+        null_safe_join(counts, _fences(numbers, by, value, limits), [by], "inner")
         .groupBy(by, "q1", "median", "q3")
         .agg(
             F.least("q1", F.min(F.when(inside, F.col(value)))).alias("whisker_low"),
             F.greatest("q3", F.max(F.when(inside, F.col(value)))).alias("whisker_high"),
-            F.count_if(~inside).alias("outliers"),
-            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum(F.when(~inside, F.col("__n"))), F.lit(0)).alias("outliers"),
+            F.sum("__n").alias("n"),
         )
     )
 
 
 def box_outliers(df: DataFrame, by: str, value: str, **limits) -> DataFrame:
     """The points drawn outside the whiskers."""
-    fenced = _fenced(df, by, value, limits)
+    numbers = df.where(finite(F.col(value)).isNotNull())
+    fenced = null_safe_join(numbers, _fences(numbers, by, value, limits), [by], "inner")
     return fenced.where(~F.col(value).between(F.col("__lo"), F.col("__hi"))).select(*df.columns)
 
 

@@ -14,10 +14,6 @@ from ..functions.scalars import decade
 from ..operators.joins import pairs_on
 from ..operators.ordered import null_safe_join
 
-# Above this many pairs per input row the collaboration join prunes names first.
-PAIRS_PER_ROW = 50
-
-
 def profession_gender(profession: DataFrame, gender: DataFrame) -> DataFrame:
     """(person_id, profession) x (person_id, gender) -> people per pair."""
     return (
@@ -46,10 +42,11 @@ def _mean_score():
     return F.sum("score_sum") / F.sum("score_count")
 
 
-def collaborations(
-    participates: DataFrame, names: DataFrame, k: int = 20, pairs_per_row: float = PAIRS_PER_ROW
-) -> DataFrame:
-    """Director and writer names that share most movies, two different people."""
+def collaborations(participates: DataFrame, names: DataFrame, k: int = 20) -> DataFrame:
+    """Director and writer names that share most movies, two different people.
+
+    Names that cannot reach the k best are left out before pairs are formed.
+    """
     named = participates.join(names, "person_id")
     directors = named.where("role = 'director'").select(
         "movie_id", F.col("person_id").alias("director"), F.col("name").alias("director_name")
@@ -57,15 +54,7 @@ def collaborations(
     writers = named.where("role = 'writer'").select(
         "movie_id", F.col("person_id").alias("writer"), F.col("name").alias("writer_name")
     )
-    sizes = participates.groupBy("movie_id").agg(
-        F.count_if(F.col("role") == "director").alias("d"), F.count_if(F.col("role") == "writer").alias("w")
-    )
-    pairs, rows = sizes.agg(
-        F.coalesce(F.sum(F.col("d").cast("double") * F.col("w")), F.lit(0.0)),
-        F.coalesce(F.sum(F.col("d") + F.col("w")), F.lit(0)),
-    ).first()
-    if pairs > pairs_per_row * rows:
-        directors, writers = _prune_names(directors, writers, k)
+    directors, writers = _prune_names(directors, writers, k)
     return (
         pairs_on(directors, writers, ["movie_id"], ("director", "writer"))
         .groupBy("director_name", "writer_name")

@@ -176,8 +176,7 @@ def test_index_file(spark, tmp_path):
     assert [tuple(r) for r in readers.entities_of_kind(index, "Movie").collect()] == [(0, "http://x/Movie/tt1")]
 
 
-@pytest.mark.parametrize("pairs_per_row", [0.0, 1e9])
-def test_pruned_collaborations_are_exact(spark, pairs_per_row):
+def test_pruned_collaborations_are_exact(spark):
     """One movie has most of the credits; repeated pairs sit elsewhere."""
     rows = [(f"nm{i}", "hot", role) for i in range(60) for role in ("director", "writer")]
     rows += [(f"nm{i}", f"tt{i}_{j}", "director") for i in range(30) for j in range(i % 5 + 1)]
@@ -185,7 +184,7 @@ def test_pruned_collaborations_are_exact(spark, pairs_per_row):
     crew = spark.createDataFrame(rows, "person_id string, movie_id string, role string")
     people = crew.select("person_id").distinct()
     named = people.select("person_id", F.concat(F.lit("name"), F.substring("person_id", -2, 2)).alias("name"))
-    got = [tuple(r) for r in A.collaborations(crew, named, 12, pairs_per_row=pairs_per_row).collect()]
+    got = [tuple(r) for r in A.collaborations(crew, named, 12).collect()]
     who = {r.person_id: r.name for r in named.collect()}
     counts = {}
     for d, m, role in rows:
@@ -194,3 +193,14 @@ def test_pruned_collaborations_are_exact(spark, pairs_per_row):
                 counts[who[d], who[w]] = counts.get((who[d], who[w]), 0) + 1
     wanted = sorted(((n, -c) for n, c in counts.items()), key=lambda x: (x[1], x[0]))[:12]
     assert got == [(d, w, -c) for (d, w), c in wanted]
+
+
+def test_pattern_filters_and_implied_types(spark):
+    t = spark.createDataFrame([("a", "year", "1"), ("b", "year", "2"), ("a", "likes", "b"), ("b", "likes", "a")], "s string, p string, o string")
+    patterns = [("?x", "type", "Film"), ("?x", "likes", "?y"), ("?x", "year", "?n"), ("?y", "year", "?m")]
+    needed = B.without_implied(patterns, {"year": "Film"}, "type")
+    assert needed == patterns[1:]
+    found = B.bgp(t, needed, [(("?n", "?m"), F.col("n") < F.col("m"))])
+    assert [r.asDict() for r in found.collect()] == [{"x": "a", "y": "b", "n": "1", "m": "2"}]
+    with pytest.raises(ValueError, match="unbound"):
+        B.bgp(t, needed, [(("?z",), F.col("z") > 1)])
