@@ -30,7 +30,7 @@ def test_stages(spark, tmp_path):
     languages, exact, near, mixed, encoded = (s.collect() for s in seen)
 
     model = langid.train(docs.where("crc32(cast(doc_id as string)) % 4 <> 2"))
-    stay = {r["doc_id"] for r in docs.collect() if (p := model.predict(r["text"]))[0] != "und" and p[1] >= 0.5}
+    stay = {r["doc_id"] for r in docs.collect() if (p := model.predict(r["text"]))[0] != "und" and p[1] >= corpus_pipeline.LEAST_SCORE}
     assert {r["doc_id"] for r in languages} == stay and not {900, 901} & stay
     assert all(r["lang"] for r in languages)
 
