@@ -8,8 +8,9 @@ needs for its n-grams, as the orders up to two are in every shard.
 
 Scoring packs the n-grams of a run of documents by shard, each with the places
 it is found at (document number and count), and joins these packs with the
-model's shards. A pack needs no other pack, so Spark can split a hot shard. Each
-join gives one partial sum per document and shard; their sum is the document's
+model's shards. How many shards there are follows from the number of n-grams in
+the model, not from the data. A pack needs no other pack, so packs are salted by their run and
+shards are sent once per salt. Each join gives one partial sum per document and shard; their sum is the document's
 log-probability. Texts are read once for training and once for scoring and never shuffled.
 
 A document is kept if its perplexity is at most the ``quantile`` of trusted documents of its
@@ -41,6 +42,7 @@ from kinomill.session import cut_lineage
 START = 0x110000  # stands before the first character
 CHARS_PER_RUN = 5_000_000
 DENSE = 1 << 24
+SHARD_GRAMS = 100_000  # n-grams of the model per shard, on average
 BROADCAST_IDS = 5_000_000  # trusted ids: 8 bytes each; beyond, Spark chooses the join
 NO_LANGUAGE = "\x00"
 
@@ -182,8 +184,8 @@ def log_probabilities(tables: list, alphabet: int, grams: np.ndarray, order: int
     return np.log(p)
 
 
-def model_shards(counts: DataFrame, order: int, shards: int) -> DataFrame:
-    """(shard, model) from n-gram counts (lang, gram, n)."""
+def model_shards(counts: DataFrame, order: int) -> tuple[DataFrame, int]:
+    """(shard, model) from n-gram counts (lang, gram, n), and the number of shards."""
     table = counts.select("lang", F.lit(order).alias("k"), "gram", F.col("n").alias("a"))
     levels = [table]
     for k in range(order - 1, 0, -1):
@@ -195,6 +197,7 @@ def model_shards(counts: DataFrame, order: int, shards: int) -> DataFrame:
     for level in levels[1:]:
         grams = grams.unionByName(level)
     grams = cut_lineage(grams)
+    shards = max(1, -(-grams.where("k > 2").count() // SHARD_GRAMS))
     few = grams.where("a <= 4").groupBy("lang", "k", F.col("a").cast("int").alias("a")).agg(F.count(F.lit(1)).alias("types"))
     by_language = discounts(few.collect(), order)  # four numbers per language and order
     sizes = {r["lang"]: r["n"] for r in grams.where("k = 1").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -229,7 +232,8 @@ def model_shards(counts: DataFrame, order: int, shards: int) -> DataFrame:
         packed = zstandard.compress(pickle.dumps(model), 3)
         return pa.table({"shard": table.column("shard").slice(0, 1), "model": pa.array([packed], pa.binary())})
 
-    return placed.where("k > 2").unionByName(everywhere).groupBy("shard").applyInArrow(build, "shard int, model binary")
+    built = placed.where("k > 2").unionByName(everywhere).groupBy("shard").applyInArrow(build, "shard int, model binary")
+    return built, shards
 
 
 PACK = "shard int, run long, number int, doc_id long, lang string, chars long, pack binary"
@@ -340,7 +344,6 @@ def _sums(joined: DataFrame, order: int) -> DataFrame:
 
 def perplexities(docs: DataFrame, trusted_ids: DataFrame, order: int = 4) -> DataFrame:
     """doc_id, lang, chars and perplexity of each row of ``docs`` (doc_id, text, lang); trusted_ids (doc_id) has the texts to learn from."""
-    shards = task_count(docs.sparkSession)
     rows = docs.select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang")
     )
@@ -348,10 +351,13 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, order: int = 4) -> Dat
     known = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     learned = rows.join(known, rows["doc_id"] == known["trusted_id"], "left_semi")
     counts = cut_lineage(count_grams(learned, order))
-    model = model_shards(counts, order, shards)
-    packs = packs_of(rows, order, shards)
+    model, shards = model_shards(counts, order)
+    salts = -(-task_count(docs.sparkSession) // shards)
     # Documents and packs come from one pass: documents carry shard -1, meet no model, and are told apart after the join.
-    joined = packs.join(model, "shard", "left")
+    salt = F.when(F.col("shard") < 0, F.pmod(F.xxhash64("run", "number"), F.lit(10_007))).otherwise(F.pmod(F.xxhash64("run"), F.lit(salts)))
+    packs = packs_of(rows, order, shards).withColumn("salt", salt)
+    salted = model.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    joined = packs.join(salted, ["shard", "salt"], "left")
     found = _sums(joined, order).groupBy("run", "number").agg(
         F.max("doc_id").alias("doc_id"), F.max("lang").alias("lang"), F.max("chars").alias("chars"), F.sum("part").alias("total")
     )

@@ -51,6 +51,7 @@ class Slow:
 
 @pytest.mark.parametrize("order", [3, 4])
 def test_against_definition(spark, small, order, monkeypatch):
+    monkeypatch.setattr(quality, "SHARD_GRAMS", 2_000 if order == 3 else 100_000)
     monkeypatch.setattr(quality, "DENSE", 1 << 14)
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = {r["doc_id"]: r for r in docs.select("doc_id", "text", "lang").collect()}
