@@ -2,7 +2,7 @@
 
 import pytest
 
-from kinomill.catalog import analysis, cleaning, graph, quality, rules
+from kinomill.catalog import analysis, cleaning, graph, quality, rules, storage
 
 NATIVE = {
     **{k: cleaning.QUERIES[k] for k in ("fold_accents", "format_values", "title_year", "join_left")},
@@ -43,3 +43,12 @@ def test_windows_are_partitioned(spark, small):
 def test_ratings_are_summed_before_the_join(spark, small):
     text = plan(analysis.genre_rating(spark, small))
     assert text.index("sum(score_sum") < text.index("Join") < text.rindex("sum(score")
+
+
+def test_right_sides_are_merged_before_they_are_shuffled(spark, small):
+    """A key that fills the right side of a semi or anti join is one row per task."""
+    for df in (storage.incremental_new_keys(spark, small), storage.referenced_people(spark, small), cleaning.join_semi(spark, small)):
+        text = plan(df)
+        right = text[text.index("Join") :]
+        right = right[right.index("Exchange", right.index("Exchange") + 1) :]
+        assert "HashAggregate" in right
