@@ -13,7 +13,8 @@ j words before the anchor repeat at the inner nodes of depth ``window - j`` whos
 also agree in the j words to the left. A prefix shared by more is lengthened to
 the full window, where a group is a single deep node of which only the
 first place matters: a minimum with partial sums, so that a passage in a third of
-all documents is gathered nowhere.
+all documents is gathered nowhere. There, each document sends its first place of a window only; places after
+it in the same document repeat it whatever the others hold, and travel as runs.
 
 Defined results: null text has no words; texts with fewer words than the window lose
 nothing. Earlier means a smaller id, or the same id and an earlier start; a null id comes
@@ -35,7 +36,8 @@ from kinomill.llm.common import task_count
 from kinomill.llm.hashing import finish, prefix_sums, span_hashes, word_hashes
 from kinomill.session import cut_lineage
 
-GROUP_LEAVES = 2_000
+GROUP_LEAVES = 20_000
+SALTS = 32
 BYTES_PER_PASS = 2_000_000
 LAST = (1 << 63) - 1
 
@@ -134,7 +136,8 @@ def _leaves(joined: DataFrame, window: int, prefix: int) -> DataFrame:
 
 
 def _full_windows(joined: DataFrame, window: int, prefix: int) -> DataFrame:
-    """One row per window of the given anchors, with a 128-bit hash of its words."""
+    """Windows of the given anchors: the first of each content in a document, with a 128-bit hash of its words,
+    and runs of ``times`` windows (without hash) that repeat an earlier one of their document."""
 
     def run(batches):
         for batch in batches:
@@ -149,11 +152,24 @@ def _full_windows(joined: DataFrame, window: int, prefix: int) -> DataFrame:
                 here = begins[text] + start
                 one = span_hashes(prefix_sums(hashes), here, here + window)
                 two = span_hashes(prefix_sums(finish(hashes)), here, here + window)
-                ids, rows = (part.column(c).to_numpy()[text] for c in ("doc_id", "row"))
-                columns = [one.view(np.int64), two.view(np.int64), ids, rows, start.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["one", "two", "doc_id", "row", "start"])
-
-    return joined.mapInArrow(run, "one long, two long, doc_id long, row long, start int")
+                # Windows come in the order of their text and start.
+                _, first = np.unique(finish(finish(one ^ text.astype(np.uint64)) ^ two), return_index=True)
+                again = np.ones(len(start), bool)
+                again[first] = False
+                at_again = np.flatnonzero(again)
+                breaks = (np.diff(text[at_again]) != 0) | (np.diff(start[at_again]) != 1)
+                begin = at_again[np.concatenate([[True], breaks])] if len(at_again) else at_again
+                times = np.diff(np.append(np.searchsorted(at_again, begin), len(at_again)))
+                first = np.sort(first)
+                for chosen, n, hashed in ((first, np.ones(len(first), np.int64), True), (begin, times, False)):
+                    ids, rows = (part.column(c).to_numpy()[text[chosen]] for c in ("doc_id", "row"))
+                    keys = [pa.array(x[chosen].view(np.int64)) if hashed else pa.nulls(len(chosen), pa.int64()) for x in (one, two)]
+                    numbers = [ids, rows, start[chosen].astype(np.int32), n.astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*keys, *map(pa.array, numbers)], names=["one", "two", "doc_id", "row", "start", "times"]
+                    )
+
+    return joined.mapInArrow(run, "one long, two long, doc_id long, row long, start int, times int")
 
 
 def _filled(texts: list[bytes], width: int, backward: bool) -> np.ndarray:
@@ -240,12 +256,13 @@ def _kept(joined: DataFrame, window: int) -> DataFrame:
                 words = text.split()
                 n_words.append(len(words))
                 if flags:
-                    place, bits = np.array([(f["place"], f["flags"]) for f in flags], np.int64).T
+                    place, bits, times = np.array([(f["place"], f["flags"], f["times"]) for f in flags], np.int64).T
                     change = np.zeros(len(words) + 1, np.int64)
                     for j in range(int(bits.max()).bit_length()):
-                        start = place[(bits >> j) & 1 == 1] - j
+                        chosen = (bits >> j) & 1 == 1
+                        start = place[chosen] - j
                         np.add.at(change, start, 1)
-                        np.add.at(change, start + window, -1)
+                        np.add.at(change, start + times[chosen] - 1 + window, -1)
                     stays = np.cumsum(change[:-1]) == 0
                     words = list(compress(words, stays.tolist()))
                 n_removed.append(n_words[-1] - len(words))
@@ -291,11 +308,16 @@ def remove_repeats(docs: DataFrame, window: int = 20, prefix: int = 8, group_lea
         return joined.select("row", F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), "packed", "places")
 
     leaves = _leaves(placed("cold"), window, prefix).repartition(tasks, "gram").sortWithinPartitions("gram")
-    found = leaves.mapInArrow(_subtrees(window, prefix), "row long, place int, flags int")
+    found = leaves.mapInArrow(_subtrees(window, prefix), "row long, place int, flags int").withColumn("times", F.lit(1))
     if any_hot:
         deep = _full_windows(placed("hot"), window, prefix)
-        first = deep.groupBy("one", "two").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-        later = deep.join(first, ["one", "two"]).where(F.struct("doc_id", "start") > F.col("first"))
-        found = found.unionByName(later.select("row", F.col("start").alias("place"), F.lit(1).alias("flags")))
-    by_row = found.groupBy("row").agg(F.collect_list(F.struct("place", "flags")).alias("found"))
+        hashed = deep.where("one is not null")
+        # One row per window; sent once per salt, so that the documents of a hot window are dealt out.
+        first = hashed.groupBy("one", "two").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+        first = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = hashed.withColumn("salt", F.pmod(F.hash("row"), F.lit(SALTS)))
+        later = salted.join(first, ["one", "two", "salt"]).where(F.struct("doc_id", "start") > F.col("first"))
+        again = later.select("row", "start", "times").unionByName(deep.where("one is null").select("row", "start", "times"))
+        found = found.unionByName(again.select("row", F.col("start").alias("place"), F.lit(1).alias("flags"), "times"))
+    by_row = found.groupBy("row").agg(F.collect_list(F.struct("place", "flags", "times")).alias("found"))
     return _kept(dealt.join(by_row, "row", "left"), window)
