@@ -40,47 +40,56 @@ def complete(vector: Column) -> Column:
     return F.when(good & (F.size(vector) > 0), doubles)
 
 
-def _packed(rows: DataFrame, per_block: int, scale: int) -> DataFrame:
-    """Blocks of up to ``per_block`` vectors, longest first: (longest, n, width, ids, vectors)."""
-    schema = pa.schema(
-        [("longest", pa.float64()), ("n", pa.int64()), ("width", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary())]
+BLOCK = "longest double, n long, width long, ids binary, vectors binary"
+
+
+def _block(ids: list[int], vectors: list[np.ndarray], scale: int) -> pa.RecordBatch:
+    """One block of vectors, longest first."""
+    width = max(map(len, vectors))
+    m = np.zeros((len(ids), width))
+    for i, v in enumerate(vectors):
+        m[i, : len(v)] = v
+    m = np.floor(m * scale)
+    norms = np.sqrt((m * m).sum(1))
+    order = np.lexsort((ids, -norms))
+    data = np.asarray(ids, np.int64)[order].tobytes(), m[order].tobytes()
+    return pa.RecordBatch.from_arrays(
+        [pa.array([float(norms.max())]), *(pa.array([x], pa.int64()) for x in (len(ids), width)), *(pa.array([x], pa.binary()) for x in data)],
+        names=[x.split()[0] for x in BLOCK.split(", ")],
     )
 
-    def block(ids, vectors):
-        width = max(map(len, vectors))
-        m = np.zeros((len(ids), width))
-        for i, v in enumerate(vectors):
-            m[i, : len(v)] = v
-        m = np.floor(m * scale)
-        norms = np.sqrt((m * m).sum(1))
-        order = np.lexsort((ids, -norms))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([float(norms.max())]),
-                pa.array([len(ids)], pa.int64()),
-                pa.array([width], pa.int64()),
-                pa.array([np.asarray(ids, np.int64)[order].tobytes()], pa.binary()),
-                pa.array([m[order].tobytes()], pa.binary()),
-            ],
-            schema=schema,
-        )
+
+def _vectors(lists: pa.ListArray) -> list[np.ndarray]:
+    return np.split(lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy())[:-1])
+
+
+def _packed(rows: DataFrame, per_block: int, scale: int) -> DataFrame:
+    """Blocks of up to ``per_block`` vectors of a partition."""
 
     def pack(batches):
         ids, vectors = [], []
         for batch in batches:
-            lists = batch.column("vector")
-            flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy())
-            vectors.extend(np.split(flat, ends[:-1]))
+            vectors.extend(_vectors(batch.column("vector")))
             ids.extend(batch.column("vec_id").to_pylist())
             while len(ids) >= per_block:
-                yield block(ids[:per_block], vectors[:per_block])
+                yield _block(ids[:per_block], vectors[:per_block], scale)
                 ids, vectors = ids[per_block:], vectors[per_block:]
         if ids:
-            yield block(ids, vectors)
+            yield _block(ids, vectors, scale)
 
-    return rows.select("vec_id", "vector").mapInArrow(
-        pack, "longest double, n long, width long, ids binary, vectors binary"
-    )
+    return rows.select("vec_id", "vector").mapInArrow(pack, BLOCK)
+
+
+def _query_blocks(asked: DataFrame, blocks: int, scale: int) -> DataFrame:
+    """Queries in ``blocks`` blocks by a hash of their ids, so that their number does not depend on the partitions."""
+
+    def pack(table: pa.Table) -> pa.Table:
+        lists = table.column("vector").combine_chunks()
+        made = _block(table.column("vec_id").to_pylist(), _vectors(lists), scale)
+        return pa.Table.from_batches([made]).add_column(0, "block", table.column("block").slice(0, 1))
+
+    dealt = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+    return dealt.select("block", "vec_id", "vector").groupBy("block").applyInArrow(pack, f"block long, {BLOCK}")
 
 
 def _unpack(n, width, ids, vectors):
@@ -174,8 +183,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256) ->
     buckets = cut_lineage(buckets.join(numbers.select("made", "bucket"), "made"))
     count = buckets.count()
     asked = valid.where(F.pmod("vec_id", F.lit(every)) == 0)
-    dealt = asked.repartition(max(1, min(task_count(spark), -(-n // (every * QUERY_ROWS)))), "vec_id")
-    blocks = _packed(dealt, QUERY_ROWS, scale).withColumn("block", F.monotonically_increasing_id())
+    blocks = _query_blocks(asked, max(1, -(-n // (every * QUERY_ROWS))), scale)
     blocks = cut_lineage(blocks.select("block", *[F.col(c).alias(f"q_{c}") for c in _SIDE], F.col("longest").alias("q_longest")))
 
     first = blocks.withColumn("bucket", F.lit(0).cast("int")).withColumn("floor", F.lit(None).cast("binary"))
