@@ -94,9 +94,12 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """
     # What this batch brings is fixed before it is appended, so a repeated task still sees the index as it was.
     rows = cut_lineage(rows_by_digest(docs))
-    groups = cut_lineage(index.unseen(groups_of(rows)).select("digest", F.lit(True).alias("new")))
+    fresh = cut_lineage(index.unseen(groups_of(rows)).select("digest", F.lit(True).alias("new")))
     index.append(groups_of(rows))
-    joined = rows.join(index.lookup().join(groups, "digest", "left"), "digest")
+    # One row per digest of the batch, written, so that the join with all rows is of two sides that Spark can split.
+    batch = rows.select("digest").distinct()
+    groups = cut_lineage(batch.join(index.lookup(), "digest").join(fresh, "digest", "left"))
+    joined = rows.join(groups, "digest")
     copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy")
     stays = F.col("new").isNotNull() & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
     return joined.select("*", copy).select(
