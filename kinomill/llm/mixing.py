@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from kinomill.llm.common import word_count
 from kinomill.session import cut_lineage
 
-LEVELS = 4
-BITS = 12  # per level; LEVELS * BITS bits of the hash are used
+LEVELS = 6
+BITS = 8  # per level; LEVELS * BITS bits of the hash are used
 BROADCAST_SOURCES = 50_000  # a table of one short row per source; above this Spark chooses the join
 
 
