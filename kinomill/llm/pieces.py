@@ -265,9 +265,11 @@ class Encoder:
         self.vocabulary, self.n = load(path), n
         self.searched = lru_cache(maxsize=200_000)(self._search)
 
-    def _search(self, codes: tuple[int, ...]):
+    def _search(self, codes: tuple[int, ...], best: tuple[int, ...]):
+        """Losses and ids of a word's n best paths, ``best`` first: among equal scores the queue may begin with another one."""
         paths = n_best(list(codes), self.n, self.vocabulary)
-        return [(paths[0][0] - score, ids) for score, ids in paths]
+        others = [(paths[0][0] - score, ids) for score, ids in paths if tuple(ids) != best]
+        return [(0.0, list(best)), *others][: self.n]
 
     def encode(self, texts: list[str]):
         """Flat ids, ids per text, score per text, and per text the changes of its further segmentations.
@@ -295,10 +297,10 @@ class Encoder:
         for i in range(len(texts)):
             low, high = bounds[i], bounds[i + 1]
             scores[i] = score[low:high].sum()
-            others.append(self._others(codes, start, length, counts, before, loss, low, high, scores[i]))
+            others.append(self._others(codes, start, length, ids, counts, before, loss, low, high, scores[i]))
         return ids, per_text, scores, others
 
-    def _others(self, codes, start, length, counts, before, loss, low, high, best):
+    def _others(self, codes, start, length, ids, counts, before, loss, low, high, best):
         few = self.n - 1
         here = loss[low:high]
         if not few or not len(here):
@@ -310,7 +312,10 @@ class Encoder:
         else:
             near = np.arange(len(here))
         near = [low + w for w in near if np.isfinite(loss[low + w])]
-        lists = [self.searched(tuple(codes[start[w] : start[w] + length[w]].tolist())) for w in near]
+        lists = [
+            self.searched(tuple(codes[start[w] : start[w] + length[w]].tolist()), tuple(ids[before[w] : before[w] + counts[w]].tolist()))
+            for w in near
+        ]
         out = []
         for lost, choice in _joined(self.n, lists)[1:]:
             changes = [

@@ -61,3 +61,14 @@ def test_rows(spark):
     assert none["ids"] is None and none["score"] is None and none["others"] is None
     assert [r["ids"] for r in got.values() if r["doc_id"] == 3] == [[]]
     assert pieces.encode(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("text", ["%%%", "&&&", "$$$", "rrrrñ", "von&&&", "%%% &&&", "a %%% b"])
+def test_tied_words_keep_every_segmentation(encoder, text):
+    ids, _, score, (more,) = encoder.encode([text])
+    paths = list(every_path(pieces.codes_of([text])[0].tolist(), encoder.vocabulary))
+    whole = pieces.segmentations(ids.tolist(), more)
+    assert [score[0], *(s for s, _ in more)] == pytest.approx(sorted((s for s, _ in paths), reverse=True)[:4])
+    assert len({tuple(w) for w in whole}) == len(whole)
+    valid = {tuple(p): s for s, p in paths}
+    assert [valid[tuple(w)] for w in whole] == pytest.approx([score[0], *(s for s, _ in more)])
