@@ -158,3 +158,19 @@ def test_cuts_of_given_groups(spark, sizes):
     for k, s in zip(keys, sizes):
         loads[sum(k >= f for f in firsts)] += s
     assert max(loads.values()) == capacity and len(loads) <= 8
+
+
+@pytest.mark.parametrize("sizes", [[30, *[1] * 60], [*[1] * 30, 30, *[1] * 30], [9, *[1] * 20, 40, 2, 2, 25, *[1] * 9], [5] * 9, [3, 50, 4]])
+@pytest.mark.parametrize("step_bits", [12, 3])
+def test_no_shard_is_empty(spark, sizes, step_bits, monkeypatch):
+    monkeypatch.setattr(sharding, "STEP_BITS", step_bits)
+    keys = [i * ((1 << 60) // (len(sizes) + 1)) + i for i in range(len(sizes))]
+    groups = spark.createDataFrame(list(zip(keys, sizes)), "key long, size long")
+    capacity, firsts = sharding.balanced_cuts(groups, 8)
+    loads = Counter()
+    for k, s in zip(keys, sizes):
+        loads[sum(k >= f for f in firsts)] += s
+    assert capacity == max(loads.values()) == minimax(sizes, 8)
+    assert len(loads) == min(8, len(sizes))
+    if sizes[:2] == [30, 1]:
+        assert sorted(loads.values())[-2] == 9  # 60 ones in seven shards
