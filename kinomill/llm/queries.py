@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kinomill.llm import exact_dedup, langid, mixing, pieces, quality, sharding, simhash, substring_dedup, topk, warc
+from kinomill.llm import (
+    bpe,
+    exact_dedup,
+    langid,
+    lexical,
+    merkle,
+    mixing,
+    pieces,
+    quality,
+    sharding,
+    simhash,
+    substring_dedup,
+    topk,
+    warc,
+)
 from kinomill.llm.common import table
 from kinomill.session import scratch_path
 
@@ -85,7 +99,32 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), k=5, every=50)
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op2_substring_dedup, op3_exact_dedup, op4_simhash, op5_language_id, op6_pieces, op7_mixing, op8_warc, op9_sharding, op10_topk)}
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents against their manifest, where half of them lost their line breaks."""
+    even = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    text = F.replace("text", F.lit("\n"), F.lit(""))
+    return merkle.verify(table(spark, folder, "documents"), scratch_path(spark, "merkle"), even, text)
+
+
+def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in byte-level pieces and back."""
+    decoded = bpe.decode(bpe.encode(table(spark, folder, "documents"), ["doc_id"]))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        bpe.ids_digest("ids").alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents for each benchmark item."""
+    index = lexical.LexicalIndex(spark, scratch_path(spark, "lexical"))
+    index.add(table(spark, folder, "documents"))
+    return index.search(table(spark, folder, "benchmark"), k=50)
+
+
+QUERIES = {q.__name__: q for q in (op1_quality, op2_substring_dedup, op3_exact_dedup, op4_simhash, op5_language_id, op6_pieces, op7_mixing, op8_warc, op9_sharding, op10_topk, op11_merkle, op12_bpe, op13_lexical)}
 
 ORACLE = {
     "op3_exact_dedup": r"""
@@ -169,6 +208,92 @@ ORACLE = {
         from scored
         qualify rank <= 5
     """,
+    "op11_merkle": r"""
+        with recursive hashed as (
+            select doc_id, source, text, concat(
+                       coalesce(concat(strlen(doc_id::varchar), ':', doc_id::varchar), '-'),
+                       coalesce(concat(strlen(source), ':', source), '-'),
+                       coalesce(concat(strlen(lang), ':', lang), '-'),
+                       coalesce(concat(strlen(n_chars::varchar), ':', n_chars::varchar), '-')) as fields,
+                   replace(text, chr(10), '') as cut,
+                   list_reduce(list_concat([4294967295::bigint], flatten(list_transform(range(len(doc_id::varchar)), lambda i:
+                           [1000 + ascii((doc_id::varchar)[i + 1]), 0, 0, 0, 0, 0, 0, 0, 0]::bigint[]))),
+                       lambda c, x: case when x > 0 then xor(c, x - 1000) else xor(c >> 1, 3988292384 * (c & 1)) end) & 1 as odd
+            from documents
+        ), leafs as (
+            select doc_id, source, sha256(concat(fields, coalesce(concat(strlen(text), ':', text), '-'))) as leaf,
+                   case when odd = 1 and text is not null then sha256(concat(fields, strlen(cut), ':', cut)) end as changed
+            from hashed
+        ), ranked as (
+            select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as rank from leafs
+        ), up as (
+            select source, 0 as level, list(leaf order by rank) as nodes from ranked group by source
+            union all
+            select source, level + 1, list_transform(range((len(nodes) + 2) // 3), lambda i:
+                       sha256(array_to_string(nodes[3 * i + 1 : 3 * i + 3], '')))
+            from up where len(nodes) > 1
+        ), subroots as (
+            select source, nodes[1] as subroot, row_number() over (order by source nulls first) - 1 as rank
+            from up where len(nodes) = 1
+        ), over_sources as (
+            select 0 as level, list(subroot order by rank) as nodes from subroots
+            union all
+            select level + 1, list_transform(range((len(nodes) + 2) // 3), lambda i:
+                       sha256(array_to_string(nodes[3 * i + 1 : 3 * i + 3], '')))
+            from over_sources where len(nodes) > 1
+        ), places as (
+            select d.*, s.subroot, u.level, d.rank // (3 ** u.level)::bigint as place, u.nodes
+            from ranked d join subroots s on d.source is not distinct from s.source
+            join up u on d.source is not distinct from u.source and len(u.nodes) > 1
+            union all
+            select d.*, s.subroot, 1000 + u.level, s.rank // (3 ** u.level)::bigint, u.nodes
+            from ranked d join subroots s on d.source is not distinct from s.source
+            join over_sources u on len(u.nodes) > 1
+        ), steps as (
+            select doc_id, source, rank, list({
+                       'l': array_to_string(nodes[place - place % 3 + 1 : place], ''),
+                       'r': array_to_string(nodes[place + 2 : place - place % 3 + 3], '')} order by level) as steps
+            from places group by doc_id, source, rank
+        )
+        select d.doc_id, leaf, subroot, o.nodes[1] as root,
+               sha256(coalesce(array_to_string(list_transform(steps, lambda s: concat(s.l, s.r)), ''), '')) as proof_sha256,
+               list_reduce(list_concat([{'l': coalesce(changed, leaf), 'r': ''}], coalesce(steps, [])),
+                           lambda a, s: {'l': sha256(concat(s.l, a.l, s.r)), 'r': ''}).l as folded_root,
+               folded_root = o.nodes[1] as verified
+        from ranked d join over_sources o on len(o.nodes) = 1 join subroots s on d.source is not distinct from s.source
+        left join steps t on d.source is not distinct from t.source and d.rank = t.rank
+    """,
+    "op13_lexical": r"""
+        with cut as (
+            select row_number() over () as nth, doc_id, regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+            from documents
+        ), docs as (
+            select nth, doc_id, terms, len(terms)::bigint as n from cut where len(terms) > 0
+        ), totals as (
+            select count(*)::bigint as big_n, sum(n)::bigint as big_l from docs
+        ), postings as (
+            select nth, doc_id, n, term, count(*)::bigint as tf
+            from (select nth, doc_id, n, unnest(terms) as term from docs) group by all
+        ), asked as (
+            select distinct item_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark
+        ), weights as (
+            select term, floor(1000 * ln((2.0::double * big_n + 2) / (2.0::double * count(*) + 1)))::bigint as w
+            from postings, totals group by term, big_n
+        ), scored as (
+            select item_id, nth, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l))))::bigint as score
+            from asked join postings using (term) join weights using (term), totals
+            group by item_id, nth, doc_id
+        )
+        select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+        from scored where score > 0
+        qualify rank <= 50
+    """,
 }
 
 
