@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from kinomill.llm import exact_dedup, mixing, sharding
 
@@ -48,10 +49,22 @@ def test_later_batches_meet_the_index(spark, docs, tmp_path):
     assert again.rows().count() == size + 1
     exact_dedup.deduplicate(later, again)
     assert again.rows().count() == size + 1
-    plan = again.unseen(spark.createDataFrame([(b"x", 1, 1)], exact_dedup.SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    plan = again.unseen(spark.createDataFrame([(b"x", 1, 1, "b")], exact_dedup.SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
 
 
+def test_a_batch_again_keeps_the_same(spark, docs, tmp_path):
+    """A job that died after the index was appended is repeated, with a name for the batch or without."""
+    index = exact_dedup.DigestIndex.open(spark, str(tmp_path), 4)
+    first = Counter(map(tuple, exact_dedup.deduplicate(docs, index).collect()))
+    size = index.rows().count()
+    assert Counter(map(tuple, exact_dedup.deduplicate(docs.repartition(3), index).collect())) == first
+    assert index.rows().count() == size and sum(r[3] for r in first) == size
+    more = docs.where("doc_id >= 0").withColumn("text", F.concat("text", F.lit("?")))
+    named = [Counter(map(tuple, exact_dedup.deduplicate(more, index, "monday").collect())) for _ in range(2)]
+    assert named[0] == named[1] and index.rows().count() == size + sum(r[3] for r in named[0].elements())
+
+
 def test_rows_that_stay(spark, docs, tmp_path):
     kept = exact_dedup.keep_first(docs, exact_dedup.DigestIndex.open(spark, str(tmp_path), 4))
     assert kept.columns == docs.columns

@@ -63,5 +63,27 @@ def test_documents_against_all_pairs(spark, small):
     assert 1 in kept and 177 not in kept  # similarity 0.83, nine bits of SimHash apart
 
 
+def test_large_runs_are_dealt(spark):
+    """Runs of a few rows only: parts of a bucket meet through their leaders."""
+    texts = made_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    roots = slow_components(texts)
+    want = {i: min(j for j, r in enumerate(roots) if r == root) for i, root in enumerate(roots)}
+    got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs, run_rows=8).collect()}
+    assert sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
+    assert all(roots[i] == roots[got[i]] for i in got)  # never a link that is none
+
+
+def test_walks():
+    import numpy as np
+
+    node, n = np.arange(4), np.full(4, 10)
+    fp = np.array([0, 1, (1 << 40) - 1, (1 << 40) - 2], np.uint64)
+    found = np.concatenate(near_copies.walk_run(node, n, fp, node), axis=1).T.tolist()
+    assert found == [[1, 0, 1], [3, 2, 1]]
+    root = np.array([0, 1, 0, 0])
+    assert np.concatenate(near_copies.walk_apart(node, n, fp, root), axis=1).T.tolist() == [[1, 0, 1]]
+
+
 def test_empty(spark):
     assert near_copies.near_copies(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -72,3 +72,24 @@ def test_tied_words_keep_every_segmentation(encoder, text):
     assert len({tuple(w) for w in whole}) == len(whole)
     valid = {tuple(p): s for s, p in paths}
     assert [valid[tuple(w)] for w in whole] == pytest.approx([score[0], *(s for s, _ in more)])
+
+
+def test_long_words_end(encoder):
+    """One word of 100,000 signs, random or all equal, in time that grows with its length; n-best as by brute force on short ones."""
+    import random
+    import time
+
+    rng = random.Random(4)
+    for text in ("".join(rng.choice("abcdefgh\n中é") for _ in range(100_000)), "a" * 100_000):
+        began = time.time()
+        ids, per_text, scores, others = encoder.encode([text])
+        assert encoder.decode(ids, per_text) == [text] and time.time() - began < 90
+        assert len(others[0]) == 3 and all(s <= scores[0] + 1e-6 for s, _ in others[0])
+
+
+def test_ties_go_to_smaller_ids(encoder):
+    for text in ("%%%%", "aaaaaaa", "rrrrñ", "$$$$$", "\n\n\n"):
+        codes = pieces.codes_of([text])[0].tolist()
+        paths = sorted((round(-s, 9), p) for s, p in every_path(codes, encoder.vocabulary))
+        found = pieces.n_best(codes, 4, encoder.vocabulary)
+        assert [p for _, p in found] == [p for _, p in paths[:4]]
