@@ -127,11 +127,19 @@ def impute_numeric(
     columns = list(columns or numeric_columns(df))
     if not columns:
         return df
-    long = _unpivot(df, columns, "double")
     if strategy == "mean":
-        fills = long.groupBy("column").agg(F.avg("value").alias("fill"))
-    elif approximate:
-        fills = long.groupBy("column").agg(F.percentile_approx("value", F.lit(0.5), 10_000).alias("fill"))
-    else:
-        fills = exact_quantiles(long, "value", [0.5], by=["column"], names=["fill"], **limits)
-    return _fill_from_map(df, fills, columns, F.lit(float(default)), keep_type=strategy == "median")
+        fills = _unpivot(df, columns, "double").groupBy("column").agg(F.avg("value").alias("fill"))
+        return _fill_from_map(df, fills, columns, F.lit(float(default)))
+    # Columns of one type at a time, so that a median is a value of its column, beyond the integers of a double, too.
+    kinds: dict = {}
+    for c in columns:
+        kinds.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    filled = df
+    for kind, same in kinds.items():
+        long = _unpivot(df, same, kind)
+        if approximate:
+            fills = long.groupBy("column").agg(F.percentile_approx("value", F.lit(0.5), 10_000).alias("fill"))
+        else:
+            fills = exact_quantiles(long, "value", [0.5], by=["column"], names=["fill"], **limits)
+        filled = _fill_from_map(filled, fills, same, F.lit(float(default)).cast(kind), keep_type=True)
+    return filled

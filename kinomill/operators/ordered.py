@@ -22,8 +22,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..session import cut_lineage
+from . import quantiles
 
 PIECE = "__piece"
 HALO = "__halo"
@@ -183,12 +185,14 @@ def exact_quantiles(
     names: Sequence[str] | None = None,
     **limits,
 ) -> DataFrame:
-    """Exact quantiles per group from a histogram and its running counts.
+    """Exact quantiles per group: of numbers by bracket and count, of other types from a histogram and its running counts.
 
     Discrete quantile: smallest value whose share of rows reaches p. With
     ``interpolate``, the linear one between the two neighbouring ranks. NULLs
     are left out. No group is held in one task's memory.
     """
+    if isinstance(df.schema[column].dataType, NumericType):
+        return quantiles.exact_quantiles(df, column, probs, by, interpolate, names)
     names = list(names or [f"q{i}" for i in range(len(probs))])
     by = list(by)
     values = df.where(F.col(f"`{column}`").isNotNull())

@@ -1,29 +1,24 @@
 """Link-prediction ranks and their summary metrics.
 
-Ranking a triple means scoring all entities in its head or tail place. The work
-is cut into a grid of query blocks and entity blocks; each cell is a small
-matrix product and returns one count per query, never the scored pairs.
+Ranking a triple means placing all entities by their score in its head or tail place. That is counted, not listed:
+``balls`` counts groups of entities whose bounds lie wholly on one side of the query's own score and scores the others in small
+matrix products, so that scored pairs are never rows.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .balls import count_better
 from .embeddings import minus, on_hyperplane, plus, score_transh
 from .ordered import exact_quantiles, null_safe_join, running_total
 
-# A cell's vectors take about 50 MB at 64 dimensions and its scores 256 x 65,536 numbers at a time. Each query is
-# sent to entities / ENTITY_BLOCK cells and each entity to queries / QUERY_BLOCK: the rows shuffled are
-# 2 x queries x entities / block, in both directions, so they fall as blocks grow.
+# Queries and entities that meet in one task.
 QUERY_BLOCK = 16_384
-ENTITY_BLOCK = 65_536
-SCORED_AT_ONCE = 256
+ENTITY_BLOCK = 32_768
 DIGITS = 9  # significant digits in which scores are compared
 HITS_AT = (1, 3, 5, 10)
 
@@ -70,32 +65,13 @@ def _queries(triples: DataFrame, entities: DataFrame, relations: DataFrame) -> D
     return scored.select("h_id", "r_id", "t_id", "score", "w", F.inline(sides))
 
 
-def _count_cell(key, queries: pa.Table, entities: pa.Table) -> pa.Table:
-    """One grid cell: candidates better than and equal to each query's own score."""
-    names = ["h_id", "r_id", "t_id", "side"]
-    found = queries.select(names)
-    if not queries.num_rows or not entities.num_rows:
-        none = pa.array([0] * queries.num_rows, pa.int64())
-        return found.append_column("better", none).append_column("ties", none)
-
-    def matrix(table, column):
-        flat = table.column(column).combine_chunks().flatten().to_numpy()
-        return flat.reshape(table.num_rows, -1).astype("float64")
-
-    all_q, all_w, e = matrix(queries, "q"), matrix(queries, "w"), matrix(entities, "vector")
-    all_own, targets = queries.column("score").to_numpy(), queries.column("target").to_numpy()
-    squares, ids = (e * e).sum(axis=1)[None, :], entities.column("id").to_numpy()[None, :]
-    better, ties = np.zeros((2, queries.num_rows), np.int64)
-    for at in range(0, queries.num_rows, SCORED_AT_ONCE):
-        part = slice(at, at + SCORED_AT_ONCE)
-        q, w, own = all_q[part], all_w[part], all_own[part][:, None]
-        along = w @ e.T
-        product = q @ e.T - along * np.einsum("ij,ij->i", q, w)[:, None]
-        scores = _comparable(-((q * q).sum(axis=1)[:, None] - 2 * product + squares - along**2))
-        other = targets[part][:, None] != ids
-        better[part] = ((scores > own) & other).sum(axis=1)
-        ties[part] = ((scores == own) & other).sum(axis=1)
-    return found.append_column("better", pa.array(better)).append_column("ties", pa.array(ties))
+def counted_candidates(
+    triples: DataFrame, entities: DataFrame, relations: DataFrame, query_block: int = QUERY_BLOCK, entity_block: int = ENTITY_BLOCK
+) -> tuple[DataFrame, int]:
+    """Per triple and side how many entities score better and equal, and of how many the score was taken; and the number of entities."""
+    queries = _queries(triples, entities, relations)
+    row = triples.select(F.count(F.lit(1)).alias("n")).first(), entities.select(F.count(F.lit(1)).alias("n")).first()
+    return count_better(queries, entities, _comparable, 2 * row[0]["n"], query_block, entity_block), row[1]["n"]
 
 
 def rank_triples(
@@ -112,20 +88,8 @@ def rank_triples(
     ``triples`` (h_id, r_id, t_id); ``entities`` (id, vector); ``relations``
     (id, w, d); other true triples in ``known`` do not count against a triple.
     """
-    queries = _queries(triples, entities, relations)
-    sizes = triples.select(F.count(F.lit(1))).first()[0], entities.select(F.count(F.lit(1))).first()[0]
-    query_blocks = max(1, math.ceil(2 * sizes[0] / query_block))
-    entity_blocks = max(1, math.ceil(sizes[1] / entity_block))
-
-    left = queries.withColumn("qb", F.pmod(F.xxhash64("h_id", "r_id", "t_id", "side"), F.lit(query_blocks)).cast("int"))
-    left = left.withColumn("eb", F.explode(F.sequence(F.lit(0), F.lit(entity_blocks - 1))))
-    right = entities.select(
-        "id", "vector", F.pmod(F.xxhash64("id"), F.lit(entity_blocks)).cast("int").alias("eb")
-    ).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    kinds = {f.name: f.dataType.simpleString() for f in queries.schema.fields}
-    schema = f"h_id {kinds['h_id']}, r_id {kinds['r_id']}, t_id {kinds['t_id']}, side string, better bigint, ties bigint"
-    cells = left.groupBy("qb", "eb").cogroup(right.groupBy("qb", "eb")).applyInArrow(_count_cell, schema)
-    raw = cells.groupBy("h_id", "r_id", "t_id", "side").agg(F.sum("better").alias("better"), F.sum("ties").alias("ties"))
+    counted, size = counted_candidates(triples, entities, relations, query_block, entity_block)
+    raw = counted.drop("scored")
 
     true = triples.select("h_id", "r_id", "t_id")
     if known is not None:
@@ -142,7 +106,7 @@ def rank_triples(
         (better + 1).alias("optimistic"),
         (better + 1 + ties).alias("pessimistic"),
         (better + 1 + ties / 2).alias("realistic"),
-        (F.lit(sizes[1]) - F.col("known_total") + 1).alias("candidates"),
+        (F.lit(size) - F.col("known_total") + 1).alias("candidates"),
     )
 
 

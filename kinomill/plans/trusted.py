@@ -147,7 +147,7 @@ def trust(
     clean = C.apply_constraints(ready, rules)
     failed = C.violations(ready, rules)
     if treatment.band:
-        kept, cut = split_outliers(clean, treatment.band, before=df, **limits)
+        kept, cut = split_outliers(clean, treatment.band, before=df, approximate=approximate, **limits)
         reason = F.array(F.lit(f"in_band({treatment.band})"))
         clean, failed = kept, failed.unionByName(cut.withColumn("violated", reason))
     clean = S.drop_if_exists(clean, *treatment.drops)

@@ -129,3 +129,30 @@ def test_clusters(spark):
     df = spark.createDataFrame(rows, "id int, embedding array<double>")
     got = E.cluster_entities(df, k=5).collect()
     assert len(got) == 50 and {r.cluster for r in got} == set(range(5))
+
+
+def test_balls_count_without_scoring(spark):
+    """Clustered entities: most are counted by their balls, and the counts are those of scoring every entity."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 6)) * 10
+    vectors = [centres[i % 20] + rng.normal(size=6) * 0.05 for i in range(2_000)]
+    entities = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id long, vector array<double>")
+    w = rng.normal(size=6)
+    w, d = w / np.linalg.norm(w), rng.normal(size=6)
+    relations = spark.createDataFrame([(0, [float(x) for x in w], [float(x) for x in d])], "id int, w array<double>, d array<double>")
+    edges = [(i, 0, (i * 37 + 20) % 2_000) for i in range(0, 2_000, 40)]
+    triples = spark.createDataFrame(edges, "h_id long, r_id int, t_id long")
+    e = np.array(vectors)
+    plane = e - np.outer(e @ w, w)
+    for blocks in ((16, 300), (10_000, 100_000)):
+        counted, size = R.counted_candidates(triples, entities, relations, *blocks)
+        rows = {(r.h_id, r.t_id, r.side): r for r in counted.collect()}
+        assert size == 2_000 and len(rows) == 2 * len(edges)
+        for h, _, t in edges:
+            for side in ("head", "tail"):
+                gaps = plane[h] + d - (d @ w) * 0 * w - plane if side == "tail" else plane + d - plane[t]
+                scores = R._comparable(-(gaps * gaps).sum(axis=1))
+                own, target = scores[t if side == "tail" else h], t if side == "tail" else h
+                others = np.delete(scores, target)
+                assert (rows[h, t, side].better, rows[h, t, side].ties) == ((others > own).sum(), (others == own).sum())
+        assert sum(r.scored for r in rows.values()) < 0.25 * len(rows) * 2_000
