@@ -145,12 +145,18 @@ def impute_mean(spark, d):
     return filled.select("c_custkey", *[F.round(c, 6).alias(c) for c in ("c_acctbal", "c_nationkey", "nothing")])
 
 
+def distinct_values(spark, d):
+    """Values of two columns of the documents, some of them missing."""
+    docs = D.table(spark, d, "documents").select("lang", F.when(F.col("doc_id") % 5 != 0, F.col("source")).alias("source"))
+    return Q.distinct_values(docs)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         profile_columns, column_completeness, relation_completeness, redundancy, timeliness, missing_dates, missing_dates_dirty,
         date_coverage, calendar_complete, ts_outliers, ts_outliers_joined, impute_midpoint, impute_linear,
-        impute_temporal, impute_mode, impute_median, impute_mean,
+        impute_temporal, impute_mode, impute_median, impute_mean, distinct_values,
     )
 }
 
@@ -204,6 +210,8 @@ _STATUS = ("o_orderstatus", "o_orderkey % 9 <> 0")
 _PRIORITY = ("o_orderpriority", "o_orderkey % 4 = 0")
 
 ORACLE = {
+    "distinct_values": "select 'lang' as \"column\", lang as value, count(*) as n from documents group by lang union all "
+    "select 'source', case when doc_id % 5 <> 0 then source end, count(*) from documents group by 2",
     "profile_columns": _HOLED + " union all ".join(_profile_row(c) for c in _COLUMNS),
     "column_completeness": _HOLED
     + " union all ".join(

@@ -95,11 +95,23 @@ def serving_view_late(spark, d):
     return _plain(S.serving_view(batch, arrived, "ts", ["event_id"]), "event_id", "ts", "user_id", "value")
 
 
+def stream_late_rows(spark, d):
+    """Events in two arrivals; what comes more than ten days behind the first arrival is kept apart, and nothing is lost."""
+    folder = scratch_path(spark, "late")
+    events = D.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    for number, arrival in enumerate(("event_id % 3 <> 0", "event_id % 3 = 0")):
+        events.where(arrival).coalesce(1).write.parquet(f"{folder}/in/{number}")
+        stream = I.read_stream(spark, f"{folder}/in/*", events.schema)
+        I.drain_with_late(stream, "ts", "10 days", f"{folder}/kept", f"{folder}/late", f"{folder}/checkpoint")
+    both = [spark.read.schema(events.schema).parquet(f"{folder}/{name}").withColumn("late", F.lit(name == "late")) for name in ("kept", "late")]
+    return _plain(both[0].unionByName(both[1]), "event_id", "ts", "user_id", "value", "late")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         stream_ingest, stream_trusted, stream_dedupe, stream_window_avg, stream_sliding_avg, stream_sessions,
-        serving_view, serving_view_late,
+        serving_view, serving_view_late, stream_late_rows,
     )
 }
 
@@ -117,4 +129,6 @@ ORACLE = {
     "select min(ts) as session_start, user_id, count(*) as n, round(sum(value), 4) as total from b group by user_id, s",
     "serving_view": "select event_id, ts, user_id, value from events",
     "serving_view_late": "select event_id, case when event_id % 21 <> 0 then ts end as ts, user_id, value from events",
+    "stream_late_rows": "select event_id, ts, user_id, value, coalesce(event_id % 3 = 0 and "
+    "ts < (select max(ts) from events where event_id % 3 <> 0) - interval '10 days', false) as late from events",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -146,3 +147,10 @@ def report(profiled: DataFrame) -> str:
         figures = "".join(f"{'' if r[k] is None else format(r[k], '.2f'):>14}" for k in ("mean", "stddev", "min", "max"))
         lines.append(f"{r['column']:<28}{r['distinct_count']:>12}{r['value_count']:>12}{figures}")
     return "\n".join(lines)
+
+
+def distinct_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column, value, n): the different values of each column as text and how often they occur, NULL among them."""
+    names = list(columns or df.columns)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in names])
+    return df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))

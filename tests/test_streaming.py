@@ -87,3 +87,23 @@ def test_serving_view_keeps_ties_and_late_rows(spark):
     speed = spark.createDataFrame(rows, "id int, t int")
     view = S.serving_view(speed.where("id = 1"), speed, "t", ["id"])
     assert sorted(r.id for r in view.collect()) == [1, 2, 3, 4]
+
+
+def test_late_rows_are_kept_apart(spark, folder):
+    """Also after a restart, and when a batch is written a second time; a hot key is rows like others."""
+    def drain():
+        I.drain_with_late(I.read_stream(spark, f"{folder}/in", SCHEMA, files_per_batch=1), "ts", "1 hour", f"{folder}/kept", f"{folder}/late", f"{folder}/ck")
+
+    def ids(name):
+        return sorted(r.id for r in spark.read.parquet(f"{folder}/{name}").collect())
+
+    _write(spark, f"{folder}/in", [(1, "a", "2024-01-01 05:00:00", 1.0), (2, "a", "2024-01-01 00:00:00", 1.0)])
+    drain()
+    assert (ids("kept"), ids("late")) == ([1, 2], [])  # the first batch has no watermark yet
+    _write(spark, f"{folder}/in", [(3, "a", "2024-01-01 03:59:59", 1.0), (4, "a", "2024-01-01 04:00:00", 1.0), (5, None, None, 1.0)])
+    drain()
+    _write(spark, f"{folder}/in", [(6, "a", "2024-01-01 00:30:00", 1.0)] * 50)
+    drain()
+    assert (ids("kept"), ids("late")) == ([1, 2, 4, 5], [3] + [6] * 50)
+    drain()
+    assert len(ids("kept")) + len(ids("late")) == 55
