@@ -14,6 +14,7 @@ from ..plans import formatted
 from ..plans import graph_model as M
 from ..session import scratch_path
 from ..sources import incremental, readers, schemas, sinks
+from ..sources.snapshots import SnapshotTable
 from .graph import graph_sql, triples_title
 from .views import movie, person, with_views
 
@@ -243,6 +244,17 @@ def shape_payload(spark, d):
     )
 
 
+def zone_merge(spark, d):
+    """A zone of customers after two merges: changed balances, and customers that come in anew."""
+    table = SnapshotTable(spark, scratch_path(spark, "zone"), ("c_custkey",), buckets=16)
+    customers = D.table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    table.write(customers.where("c_nationkey <> 3"))
+    table.merge(customers.where("c_nationkey in (2, 3)").withColumn("c_acctbal", F.round(F.col("c_acctbal") + 1, 2)))
+    table.merge(customers.where("c_custkey % 10 = 0").withColumn("c_acctbal", F.round(F.col("c_acctbal") - 1, 2)))
+    table.expire()
+    return table.read()
+
+
 def storage_footprint(spark, d):
     """Bytes of the documents' ids and lengths as CSV, which are known to the byte, and as Parquet."""
     text, parquet = scratch_path(spark, "text"), scratch_path(spark, "parquet")
@@ -299,7 +311,7 @@ QUERIES = {
     for f in (
         scan_delimited, scan_tsv_gz, scan_csv, scan_json_map, scan_parquet, scan_triples_tsv, entity_index,
         changed_files, file_hashes, incremental_new_keys, incremental_append, referenced_people, shape_payload,
-        sink_parquet, storage_footprint, sink_ntriples, sink_csv, sink_triples_tsv, sink_triples_tsv_text, observe_metrics,
+        sink_parquet, zone_merge, storage_footprint, sink_ntriples, sink_csv, sink_triples_tsv, sink_triples_tsv_text, observe_metrics,
     )
 }
 
@@ -351,6 +363,8 @@ ORACLE = {
     "shape_payload": "select event_id, case when event_id % 6 <> 0 then user_id end as id, case when event_id % 6 <> 0 then event_type end as name, "
     "case when event_id % 6 <> 0 then 2 end as works, case when event_id % 6 <> 0 then cast(json_extract_string(props, '$.k') as bigint) end as first_work, "
     "case when event_id % 6 <> 0 then 2.5::double end as first_popularity from events",
+    "zone_merge": "select c_custkey, c_nationkey, case when c_custkey % 10 = 0 then round(c_acctbal - 1, 2) "
+    "when c_nationkey in (2, 3) then round(c_acctbal + 1, 2) else c_acctbal end as c_acctbal from customer",
     "storage_footprint": "select sum(length(doc_id::varchar) + length(n_chars::varchar) + 2)::bigint as source_bytes, "
     "true as parquet_is_bounded, true as share_follows from documents",
     "sink_ntriples": f"select {_DOC} || ' <{M.RDF_TYPE}> <{M.DEFAULT_NAMESPACE}Movie> .' as value from documents union all "
