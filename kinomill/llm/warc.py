@@ -5,9 +5,9 @@ carries the bytes (response) and which point to it (revisit); payloads meet
 that decision by record id, so a payload shared by a third of all pages is no
 hot key of a join that carries bytes. Records are written by Spark's text
 writer, whose line separator is the blank line that ends a WARC record; files
-are gzipped and hold a bounded number of records.
+are gzipped and hold a bounded number of records and bytes.
 
-Reading parses each file as a stream. The archive store keeps payload bytes once per
+Reading parses each file as a stream. Records of all types keep their bytes, also those of other writers. The archive store keeps payload bytes once per
 SHA-256 (recomputed from the bytes, and checked against the digests the record
 states) and the exact bytes of each record's headers apart from them; a join
 puts original records together again.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 END = "\r\n\r\n"
 RECORDS_PER_FILE = 2_000
+FILE_BYTES = 1_500_000_000  # a file is read back as one value
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
@@ -92,8 +94,10 @@ def write_archive(pages: DataFrame, path: str, date: str, min_bytes: int = 0) ->
     )
     body = F.when(is_head, F.col("payload")).otherwise(F.lit(b""))
     record = F.concat(F.concat(fields, http).cast("binary"), body).cast("string")
+    longest = pages.agg(F.max(F.octet_length("html") + F.coalesce(F.octet_length("url"), F.lit(0)))).first()[0] or 0
+    per_file = max(1, min(RECORDS_PER_FILE, FILE_BYTES // (longest + 2_000)))
     rows.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").option(
-        "maxRecordsPerFile", RECORDS_PER_FILE
+        "maxRecordsPerFile", per_file
     ).text(path)
 
 
@@ -140,7 +144,7 @@ def parse_records(content: bytes):
                 return
         head = bytes(buffer[: at + 4])
         lines = head.decode("utf-8").split("\r\n")
-        fields = dict(line.split(": ", 1) for line in lines[1:] if line)
+        fields = {name.strip(): value.strip() for name, colon, value in (line.partition(":") for line in lines[1:]) if colon}
         total = at + 4 + int(fields["Content-Length"]) + 4
         while len(buffer) < total:
             if not fill():
@@ -151,6 +155,14 @@ def parse_records(content: bytes):
         yield fields, head + block[:cut], block[cut:]
 
 
+def _stated_sha1(digest: str | None) -> str | None:
+    """The stated SHA-1 in upper-case base32, from base32 or hex; null for other digests."""
+    label, _, value = (digest or "").partition(":")
+    if label.lower() != "sha1":
+        return None
+    return base64.b32encode(bytes.fromhex(value)).decode() if len(value) == 40 else value.upper()
+
+
 def _number(record_id: str | None):
     tail = (record_id or "").rstrip(">").rpartition(":")[2]
     return int(tail) if tail.lstrip("-").isdigit() else None
@@ -165,13 +177,13 @@ def _parse_batches(batches):
         for content in batch.column("content"):
             out, held = [], 0
             for fields, header, payload in parse_records(content.as_py()):
-                own = fields["WARC-Type"] == "response"
+                own = fields["WARC-Type"] != "revisit"
                 out.append(
                     (
                         _number(fields.get("WARC-Record-ID")),
                         fields["WARC-Type"],
                         _number(fields.get("WARC-Refers-To")),
-                        fields.get("WARC-Payload-Digest", "").removeprefix("sha1:"),
+                        _stated_sha1(fields.get("WARC-Payload-Digest")),
                         fields.get("X-Payload-SHA256"),
                         header,
                         pack(payload) if own else None,
@@ -205,42 +217,64 @@ def _unpacked(batches):
         yield pa.RecordBatch.from_arrays([batch.column("sha256"), pa.array(payloads, pa.binary())], names=["sha256", "payload"])
 
 
+PAYLOADS = "sha256 string, sha1 string, payload_bytes bigint, packed binary"
+HEADERS = "page_id bigint, record_type string, refers_to bigint, sha256 string, stated_sha1 string, carried boolean, header binary"
+
+
 @dataclass(frozen=True)
 class Store:
-    """Content-addressed archive below a folder: ``payloads`` once per digest, ``headers`` per record."""
+    """Content-addressed archive below a folder: ``payloads`` once per digest, ``headers`` per record.
+
+    One writer at a time. Payloads are written before the headers that need them, and the headers of an addition have a
+    folder of their own, so an addition that died is simply made again under the same name.
+    """
 
     spark: SparkSession
     path: str
 
-    def add(self, records: DataFrame) -> None:
-        """Write records as read; a payload that differs from its stated digests stops the job."""
+    def _there(self, name: str) -> bool:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+
+    def add(self, records: DataFrame, name: str | None = None) -> None:
+        """Write records as read; payloads already stored are not written again.
+
+        Adding under a ``name`` that is there replaces that addition's headers. A payload that differs from its stated digests stops the job.
+        """
         wrong = (F.col("sha256") != F.col("stated_sha256")) | (F.col("sha1") != F.col("stated_sha1"))
-        checked = records.withColumn(
-            "sha256",
-            F.when(wrong, F.raise_error(F.concat(F.lit("payload differs from its digest: "), F.col("stated_sha256"))))
-            .otherwise(F.coalesce("sha256", "stated_sha256")),
-        )
-        # Both tables from one parse: records without bytes go to the headers only.
-        checked.select("page_id", "record_type", "refers_to", "sha256", "header").write.mode("append").parquet(
-            f"{self.path}/headers"
+        digest = F.when(
+            wrong, F.raise_error(F.concat(F.lit("payload differs from its digest: "), F.coalesce("stated_sha256", "stated_sha1")))
+        ).otherwise(F.coalesce("sha256", "stated_sha256"))
+        checked = records.withColumn("sha256", digest)
+        bodies = checked.where(F.col("packed").isNotNull()).select("sha256", "sha1", "payload_bytes", "packed").dropDuplicates(["sha256"])
+        if self._there("payloads"):
+            bodies = bodies.join(self.payloads().select("sha256"), "sha256", "left_anti")
+        bodies.write.mode("append").parquet(f"{self.path}/payloads")
+        heads = checked.select(
+            "page_id", "record_type", "refers_to", "sha256", "stated_sha1", F.col("packed").isNotNull().alias("carried"), "header"
         )
-        bodies = checked.where(F.col("packed").isNotNull()).select("sha256", "sha1", "payload_bytes", "packed")
-        bodies.dropDuplicates(["sha256"]).write.mode("append").parquet(f"{self.path}/payloads")
+        heads.write.mode("overwrite").parquet(f"{self.path}/headers/addition={name or uuid.uuid4().hex}")
 
     def headers(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/headers")
+        """Header bytes of all records; a revisit that states only a SHA-1 finds its payload by it."""
+        heads = self.spark.read.schema(HEADERS).parquet(f"{self.path}/headers").drop("addition")
+        named = heads.where("sha256 is not null or stated_sha1 is null")
+        rest = heads.where("sha256 is null and stated_sha1 is not null").drop("sha256")
+        known = self.payloads().groupBy(F.col("sha1").alias("stated_sha1")).agg(F.min("sha256").alias("sha256"))
+        return named.unionByName(rest.join(known, "stated_sha1", "left")).drop("stated_sha1")
 
     def payloads(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/payloads")
+        return self.spark.read.schema(PAYLOADS).parquet(f"{self.path}/payloads")
 
     def described(self) -> DataFrame:
-        """Each record with length and SHA-1 of its full payload; reads no payload bytes."""
-        return self.headers().drop("header").join(self.payloads().select("sha256", "sha1", "payload_bytes"), "sha256")
+        """Each record with length and SHA-1 of its full payload, null if the store lacks it; reads no payload bytes."""
+        known = self.payloads().select("sha256", "sha1", "payload_bytes")
+        return self.headers().drop("header", "carried").join(known, "sha256", "left")
 
     def rebuilt(self) -> DataFrame:
         """(page_id, record_type, record): the original bytes of each record, and ``full_payload`` also for revisits."""
         whole = self.payloads().select("sha256", "packed").mapInArrow(_unpacked, "sha256 string, payload binary")
-        joined = self.headers().join(whole, "sha256")
-        body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
+        joined = self.headers().join(whole, "sha256", "left")
+        body = F.when(F.col("carried"), F.col("payload")).otherwise(F.lit(b""))
         record = F.concat(F.col("header"), body, F.lit(END.encode()))
         return joined.select("page_id", "record_type", record.alias("record"), F.col("payload").alias("full_payload"))
