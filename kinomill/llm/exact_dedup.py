@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from kinomill.llm.common import SPACES
 from kinomill.session import cut_lineage
 
-SCHEMA = "digest binary, keep_id bigint, copies bigint"
+SCHEMA = "digest binary, keep_id bigint, copies bigint, batch string"
 
 
 def text_digest(text: Column) -> Column:
@@ -57,14 +57,17 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
-    def unseen(self, groups: DataFrame) -> DataFrame:
-        """Rows of ``groups`` (one per digest) whose digest the index lacks."""
-        return groups.hint("merge").join(self.rows().select("digest"), "digest", "left_anti")
+    def unseen(self, groups: DataFrame, batch: str | None = None) -> DataFrame:
+        """Rows of ``groups`` (one per digest) whose digest no other batch brought."""
+        known = self.rows()
+        if batch is not None:
+            known = known.where(~F.col("batch").eqNullSafe(F.lit(batch)))
+        return groups.hint("merge").join(known.select("digest"), "digest", "left_anti")
 
-    def append(self, groups: DataFrame) -> None:
+    def append(self, groups: DataFrame, batch: str) -> None:
         """Add the digests of ``groups`` that are new. Adding the same batch twice changes nothing."""
         # Dealt as the buckets are: a task writes one file, not one per bucket.
-        fresh = self.unseen(groups).select("digest", "keep_id", "copies").repartition(self.buckets, "digest")
+        fresh = self.unseen(groups).select("digest", "keep_id", "copies", F.lit(batch).alias("batch")).repartition(self.buckets, "digest")
         fresh.write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").option(
             "path", self.path
         ).saveAsTable(self.name)
@@ -85,17 +88,28 @@ def groups_of(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.sum("n").alias("copies"))
 
 
-def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def batch_name(rows: DataFrame) -> str:
+    """A name from the batch's rows alone: the same rows, in any order, have the same one."""
+    row_hash = F.xxhash64("digest", "doc_id", "n").cast("decimal(38,0)")
+    count, total = rows.agg(F.sum("n"), F.sum(row_hash)).first()
+    return f"{count or 0}:{total or 0}"
+
+
+def deduplicate(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """Add a batch to the index; one row per document of the batch.
 
+    A batch that the index has already, by its name or (without one) by its rows, gives the same result again: a job that died
+    before it stored its result can be repeated.
+
     Returns doc_id, keep_id, group_size, kept and digest. A document that
     repeats an earlier batch is not kept and carries that batch's keep_id;
     group_size counts the rows of the batch that brought the text in.
     """
     # What this batch brings is fixed before it is appended, so a repeated task still sees the index as it was.
     rows = cut_lineage(rows_by_digest(docs))
-    fresh = cut_lineage(index.unseen(groups_of(rows)).select("digest", F.lit(True).alias("new")))
-    index.append(groups_of(rows))
+    name = batch or batch_name(rows)
+    fresh = cut_lineage(index.unseen(groups_of(rows), name).select("digest", F.lit(True).alias("new")))
+    index.append(groups_of(rows), name)
     # One row per digest of the batch, written, so that the join with all rows is of two sides that Spark can split.
     batch = rows.select("digest").distinct()
     groups = cut_lineage(batch.join(index.lookup(), "digest").join(fresh, "digest", "left"))
@@ -107,9 +121,9 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     )
 
 
-def keep_first(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def keep_first(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` whose text is new to the index, one per text, with all their columns."""
-    kept = cut_lineage(deduplicate(docs, index))
+    kept = cut_lineage(deduplicate(docs, index, batch))
     chosen = kept.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
     marked = docs.withColumn("__digest", text_digest(F.col("text")))
     found = marked.join(
