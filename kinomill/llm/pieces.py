@@ -130,15 +130,31 @@ def n_best(codes: list[int], n: int, vocabulary: Vocabulary) -> list[tuple[float
                 own = tuple(vocabulary.byte_ids(codes[start]))
                 into[end].append((start, vocabulary.byte_score * len(own), own))
         best[end] = max(best[start] + score for start, score, _ in into[end])
-    # Backward: (bound, path so far, place, its score); the bound of a state is the score of its best completion.
-    queue, found = [(-best[size], (), size, 0.0)], []
+    # Backward: a state is a place and the path from there to the end, kept as its first edge and the state behind it. Its
+    # bound is the score of its best completion. Of the paths from one place only the n best can belong to the n
+    # best of all, so a place is opened n times at most. Ties go to the place nearer to the end, then to smaller
+    # ids: of equal paths from one place, the first edge decides, then which of the states behind it was opened first.
+    states: list[tuple[tuple[int, ...], int]] = []
+    queue, found, opened = [(round(-best[size], 9), -size, (), -1, 0.0)], [], [0] * (size + 1)
     while queue and len(found) < n:
-        bound, path, place, score = heapq.heappop(queue)
+        _, place, piece, behind, score = heapq.heappop(queue)
+        place = -place
+        if opened[place] == n:
+            continue
+        opened[place] += 1
+        states.append((piece, behind))
+        state = len(states) - 1
         if place == 0:
-            found.append((-bound, list(path)))
+            path = []
+            while state >= 0:
+                piece, state = states[state]
+                path.extend(piece)
+            found.append((score, path))
             continue
-        for start, own, piece in into[place]:
-            heapq.heappush(queue, (-(score + own + best[start]), piece + path, start, score + own))
+        for start, own, edge in into[place]:
+            if opened[start] < n:
+                key = round(-(score + own + best[start]), 9), -start
+                heapq.heappush(queue, (*key, edge, state, score + own))
     return found
 
 
@@ -182,15 +198,15 @@ def _lattice(sums, codes, start, length, vocabulary: Vocabulary):
     active = np.searchsorted(-length, -np.arange(1, high + 1), side="right")  # words of at least that length
     for t in range(1, high + 1):
         here = base[: active[t - 1]] + t
-        for k in range(1, min(wide, t) + 1):
-            score = forward[here - k] + edge[k, here - k]
-            better = score > forward[here]
-            forward[here[better]] = score[better]
-            back[here[better]] = k
+        from_ = here - np.arange(1, min(wide, t) + 1)[:, None]
+        scores = forward[from_] + edge[here - from_, from_]
+        k = scores.argmax(axis=0)  # the shortest of equally good ones
+        forward[here] = scores[k, np.arange(len(here))]
+        back[here] = k + 1
     for t in range(1, high + 1):
         here = (base + length)[: active[t - 1]] - t
-        for k in range(1, min(wide, t) + 1):
-            after[here] = np.maximum(after[here], edge[k, here] + after[here + k])
+        k = np.arange(1, min(wide, t) + 1)[:, None]
+        after[here] = (edge[k, here] + after[here + k]).max(axis=0)
     total = forward[base + length]
 
     flat_word, flat_place, flat_ids = [], [], []
