@@ -11,7 +11,7 @@ whole numbers. A cell returns at most k rows per query, so cells x queries x k
 small rows meet at the end, never pairs.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components take
-no part. Components beyond a vector's end count as zero. Ids that repeat are
+no part, nor do vectors with a component so large that it is no finite double times ``scale``. Components beyond a vector's end count as zero. Ids that repeat are
 candidates each; a null id is neither query nor candidate. Scores beyond 64 bits
 are held at the bounds of a 64-bit number.
 """
@@ -30,13 +30,15 @@ BUCKET_ROWS = 32_768
 QUERY_ROWS = 1_024
 COORDINATE_FROM = 0.8  # local cosine threshold from which pruning by coordinate pays
 EXACT = 1 << 53
+LARGEST = float(np.finfo(np.float64).max)
 LONG = (-(1 << 63), (1 << 63) - 1)
 
 
-def complete(vector: Column) -> Column:
+def complete(vector: Column, scale: int = 256) -> Column:
     """The vector in doubles; null for vectors that take no part."""
     doubles = vector.cast("array<double>")
-    good = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    # Also keeps out infinity, and NaN, which Spark orders above all numbers.
+    good = F.forall(doubles, lambda x: x.isNotNull() & (F.abs(x) <= LARGEST / scale))
     return F.when(good & (F.size(vector) > 0), doubles)
 
 
@@ -170,7 +172,7 @@ def _search(cells: DataFrame, k: int) -> DataFrame:
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best candidates of every row whose id is divisible by ``every``."""
     spark = vectors.sparkSession
-    valid = vectors.select("vec_id", complete(F.col("embedding")).alias("vector")).where("vec_id is not null and vector is not null")
+    valid = vectors.select("vec_id", complete(F.col("embedding"), scale).alias("vector")).where("vec_id is not null and vector is not null")
     length = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     n = valid.count()
     parts = max(1, min(-(-n // 1_024), max(4 * task_count(spark), -(-n // BUCKET_ROWS))))

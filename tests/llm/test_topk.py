@@ -61,3 +61,10 @@ def test_pruning_keeps_what_reaches_the_floor():
     for query, ids, best in topk.search_cell(np.arange(1000, 1040), q, floor, np.arange(400), p, 5):
         row = scores[query - 1000]
         assert sorted(best, reverse=True) == sorted(row, reverse=True)[:5]
+
+
+def test_components_beyond_scaling_take_no_part(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [1e307, 0.0]), (3, [1e300, 0.0]), (4, [-1.7e308, 1.0])]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5, every=50).collect()
+    assert [(r["rank"], r["vec_id"]) for r in sorted(found, key=lambda r: r["rank"])] == [(1, 3), (2, 1)]
+    assert found[0]["score"] <= topk.LONG[1]
