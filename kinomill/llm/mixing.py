@@ -130,8 +130,13 @@ def mix(
 
 
 def repeat(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The documents of the mix, each as often as it was taken; ``mixed`` has doc_id and copies."""
-    wanted = mixed.where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    wanted = wanted.select(F.col("doc_id").alias("mix_id"), F.array_repeat(F.lit(True), F.col("copies").cast("int")).alias("mix_copies"))
-    joined = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["mix_id"]))
-    return joined.select(*[docs[c] for c in docs.columns], F.explode("mix_copies").alias("mix_one")).drop("mix_one")
+    """The documents of the mix, each as often as it was taken; ``mixed`` has doc_id, source and copies.
+
+    Rows that share an id and a source were taken equally often.
+    """
+    wanted = mixed.where("copies > 0").groupBy("doc_id", "source").agg(F.max("copies").alias("copies"))
+    wanted = wanted.select(
+        F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.array_repeat(F.lit(True), F.col("copies").cast("int")).alias("mix_copies")
+    )
+    same = docs["doc_id"].eqNullSafe(wanted["mix_id"]) & docs["source"].eqNullSafe(wanted["mix_source"])
+    return docs.join(wanted, same).select(*[docs[c] for c in docs.columns], F.explode("mix_copies").alias("mix_one")).drop("mix_one")
