@@ -30,12 +30,16 @@ def _key(value: Column) -> Column:
 
 
 def _on(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join with one row per group, in which NULL groups match; without groups there is one row in all."""
+    """Join with one row per group, in which NULL groups match; without groups ``right`` is one row, taken as constants."""
+    if not by:
+        row = right.first()
+        constants = {f.name: F.lit(row[f.name] if row else None).cast(f.dataType) for f in right.schema.fields}
+        return (left if row else left.where(F.lit(False))).withColumns(constants)
     renamed = right.select(*[F.col(f"`{c}`").alias(f"__g{i}") for i, c in enumerate(by)], *[c for c in right.columns if c not in by])
     same = F.lit(True)
     for i, c in enumerate(by):
         same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"__g{i}"))
-    return left.join(renamed if by else F.broadcast(renamed), same).drop(*[f"__g{i}" for i in range(len(by))])
+    return left.join(renamed, same).drop(*[f"__g{i}" for i in range(len(by))])
 
 
 def _ranks(probs: Sequence[float], interpolate: bool) -> list[Column]:
