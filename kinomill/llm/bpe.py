@@ -2,10 +2,10 @@
 
 Spark splits the texts into words by the tokenizer's own pattern. Runs of documents, ``RUN_WORDS`` words or one
 document each, are written once: a run has its distinct words, numbered, and its documents as word numbers. The distinct
-words of all runs are one table in which each is encoded once; the ids come back to the runs' words by a join on
-the word, and meet the documents by position: a run's documents and its words lie in the same bucket of the written table, so
-documents are not shuffled. A word that a third of all texts repeat is one row per run. Decoding joins each batch's distinct ids with
-the table of pieces, whose size is the vocabulary's.
+words of all runs meet in shards by their hash, each distinct word in one shard, where it is encoded once; the ids go back
+to the runs and join the documents by the words' positions. A run's documents and its words lie in the same bucket of the written
+table, so documents are never shuffled, and what is shuffled are packed lists of words and of ids. A word that a third of all texts repeat is one entry per
+run. Decoding joins each batch's distinct ids with the table of pieces, whose size is the vocabulary's.
 
 The pattern's letter and digit classes are completed by asking the tokenizer for its view of the
 code points that Java's tables do not know. Added tokens (such as an end-of-text mark) in a text are words of their own, as in the library.
@@ -21,10 +21,10 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
+import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -35,8 +35,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 from kinomill.llm.common import task_count
 from kinomill.session import scratch_path
 
-RUN_WORDS = 2_000_000
+RUN_WORDS = 1_000_000
 WORDS_PER_CALL = 4_096
+SHARDS_PER_TASK = 4
+ROWS_PER_BATCH, DOCS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 512
 LAST_ASSIGNED = 0x40000  # no letters or digits are assigned in the planes beyond
 # The white space of the Unicode property White_Space, and the contractions of the byte-level pattern.
 SPACE = r"\x09-\x0D\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -124,24 +126,47 @@ def words(text: Column, path: str) -> Column:
     )
 
 
-def _run_batch(number: int, docs: list[pa.RecordBatch], kept: list[str]) -> pa.RecordBatch:
-    """Rows of one run: its documents with word numbers, then its distinct words."""
+def _packed(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all strings, one after the other, and their lengths."""
+    ends = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + len(text) + 1]
+    data = text.buffers()[2]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data and len(text) else np.zeros(0, np.uint8), np.diff(ends)
+
+
+def _run_batch(number: int, docs: list[pa.RecordBatch], kept: list[str], shards: int) -> pa.RecordBatch:
+    """Rows of one run: its documents with word numbers, then its distinct words by shard.
+
+    Words are numbered in the order of shard and word, so that a shard's words need no numbers, only that of the first.
+    """
     whole = pa.Table.from_batches(docs).combine_chunks()
     column = whole.column("__words").combine_chunks()
     coded = column.flatten().dictionary_encode()
-    n, held = whole.num_rows, len(coded.dictionary)
-    codes = pa.ListArray.from_arrays(column.offsets, coded.indices.cast(pa.int32()))
-    columns = [pa.array(np.full(n + held, number), pa.int64())]
-    columns += [pa.concat_arrays([whole.column(c).combine_chunks(), pa.nulls(held, whole.schema.field(c).type)]) for c in kept]
+    held, n = coded.dictionary.cast(pa.string()), whole.num_rows
+    order = pc.sort_indices(held).to_numpy()
+    data, lengths = _packed(held)
+    ends, view = np.append(0, np.cumsum(lengths, dtype=np.int64)).tolist(), memoryview(np.ascontiguousarray(data))
+    shard = np.fromiter((zlib.crc32(view[a:b]) for a, b in zip(ends, ends[1:])), np.int64, len(held)) % shards
+    order = order[np.argsort(shard[order], kind="stable")]
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    codes = pa.ListArray.from_arrays(column.offsets, pa.array(place[coded.indices.to_numpy()]))
+    used, first = np.unique(shard[order], return_index=True)
+    data, lengths = _packed(held.take(pa.array(order)))
+    upto, borders = np.append(0, np.cumsum(lengths, dtype=np.int64)), np.append(first, len(order))
+    m = len(used)
+    columns = [pa.array(np.full(n + m, number), pa.int64())]
+    columns += [pa.concat_arrays([whole.column(c).combine_chunks(), pa.nulls(m, whole.schema.field(c).type)]) for c in kept]
     columns += [
-        pa.concat_arrays([codes, pa.nulls(held, codes.type)]),
-        pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(np.arange(held), pa.int32())]),
-        pa.concat_arrays([pa.nulls(n, pa.string()), coded.dictionary.cast(pa.string())]),
+        pa.concat_arrays([codes, pa.nulls(m, codes.type)]),
+        pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(used, pa.int64())]),
+        pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(first, pa.int32())]),
+        pa.concat_arrays([pa.nulls(n, pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(lengths, pa.int32()))]),
+        pa.array([None] * n + [data[upto[a] : upto[b]].tobytes() for a, b in zip(borders[:-1], borders[1:])], pa.binary()),
     ]
-    return pa.RecordBatch.from_arrays(columns, names=["__run", *kept, "__codes", "__code", "__word"])
+    return pa.RecordBatch.from_arrays(columns, names=["__run", *kept, "__codes", "__shard", "__first", "__lengths", "__data"])
 
 
-def _runs(kept: list[str], size: int):
+def _runs(kept: list[str], size: int, shards: int):
     def run(batches):
         number, held, count = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
@@ -154,22 +179,40 @@ def _runs(kept: list[str], size: int):
                 count += int(upto[to - 1]) - done
                 at = to
                 if count >= size or at < batch.num_rows:
-                    yield _run_batch(number, held, kept)
+                    yield _run_batch(number, held, kept, shards)
                     number, held, count = number + 1, [], 0
         if held:
-            yield _run_batch(number, held, kept)
+            yield _run_batch(number, held, kept, shards)
 
     return run
 
 
-def _encode_words(path: str):
-    def run(batches):
+def _encode_shard(path: str):
+    """Ids of the words of one shard, each distinct word encoded once, by run."""
+
+    def run(table: pa.Table) -> pa.Table:
         made = tokenizer(path)[0]
-        for batch in batches:
-            for at in range(0, batch.num_rows, WORDS_PER_CALL):
-                part = batch.slice(at, WORDS_PER_CALL).column("__word")
-                ids = [e.ids for e in made.encode_batch_fast(part.to_pylist(), add_special_tokens=False)]
-                yield pa.RecordBatch.from_arrays([part, pa.array(ids, pa.list_(pa.int32()))], names=["__word", "__ids"])
+        sizes = pc.list_value_length(table.column("__lengths")).combine_chunks().to_numpy()
+        ends = np.append(0, np.cumsum(table.column("__lengths").combine_chunks().flatten().to_numpy(), dtype=np.int64))
+        data = b"".join(x.as_py() for x in table.column("__data"))
+        text = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(data)).dictionary_encode()
+        known, counts = [], []
+        for at in range(0, len(text.dictionary), WORDS_PER_CALL):
+            for e in made.encode_batch_fast(text.dictionary.slice(at, WORDS_PER_CALL).to_pylist(), add_special_tokens=False):
+                known.extend(e.ids)
+                counts.append(len(e.ids))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(known, pa.int32()))
+        flat, per_word = _take_lists(lists, text.indices.to_numpy().astype(np.int64))
+        words_upto = np.append(0, np.cumsum(sizes))
+        ids_upto = np.append(0, np.cumsum(per_word))[words_upto]
+        return pa.table(
+            {
+                "__of": table.column("__run"),
+                "__first": table.column("__first"),
+                "__counts": pa.ListArray.from_arrays(pa.array(words_upto, pa.int32()), pa.array(per_word, pa.int32())),
+                "__ids": pa.ListArray.from_arrays(pa.array(ids_upto, pa.int32()), pa.array(flat, pa.int32())),
+            }
+        )
 
     return run
 
@@ -188,14 +231,16 @@ def _join_back(kept: list[str]):
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         codes = docs.column("__codes").combine_chunks()
-        order = np.argsort(found.column("__code").to_numpy(), kind="stable")
-        if len(order) and not np.array_equal(found.column("__code").to_numpy()[order], np.arange(len(order))):
+        found = found.sort_by("__first").combine_chunks()
+        sizes = pc.list_value_length(found.column("__counts")).to_numpy()
+        if not np.array_equal(np.cumsum(sizes) - sizes, found.column("__first").to_numpy()):
             raise ValueError("words of a run are missing or repeated")
-        ids = found.column("__ids").combine_chunks()
-        places = order[codes.flatten().to_numpy()] if len(codes.flatten()) else np.zeros(0, np.int64)
-        flat, sizes = _take_lists(ids, places)
-        per_word = np.append(0, np.cumsum(sizes))
-        per_doc = per_word[np.append(0, np.cumsum(pc.list_value_length(codes).to_numpy(zero_copy_only=False)))]
+        counts = found.column("__counts").combine_chunks().flatten().to_numpy() if len(sizes) else np.zeros(0, np.int32)
+        ends = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+        ids = found.column("__ids").combine_chunks().flatten() if len(sizes) else pa.array([], pa.int32())
+        flat, per_word = _take_lists(pa.ListArray.from_arrays(ends, ids), codes.flatten().to_numpy().astype(np.int64))
+        upto = np.append(0, np.cumsum(per_word))
+        per_doc = upto[np.append(0, np.cumsum(pc.list_value_length(codes).to_numpy(zero_copy_only=False)))]
         lists = pa.ListArray.from_arrays(pa.array(per_doc, pa.int32()), pa.array(flat, pa.int32()))
         return docs.select(kept).append_column("ids", lists)
 
@@ -209,18 +254,23 @@ def encode(docs: DataFrame, keep: list[str] | None = None, path: str | None = No
     kept = [f"__k{i}" for i in range(len(keep))]
     split = docs.select(*[docs[c].alias(k) for c, k in zip(keep, kept)], words(docs["text"], path).alias("__words"))
     own = "".join(f"{k} {split.schema[k].dataType.simpleString()}, " for k in kept)
-    schema = f"__run long, {own}__codes array<int>, __code int, __word string"
+    schema = f"__run long, {own}__codes array<int>, __shard long, __first int, __lengths array<int>, __data binary"
     tasks, name = task_count(spark), f"bpe_runs_{uuid.uuid4().hex}"
-    # Each run goes to one file in one bucket; nothing is shuffled for it.
-    split.mapInArrow(_runs(kept, run_words), schema).write.format("parquet").option("compression", "zstd").bucketBy(tasks, "__run").option(
-        "path", scratch_path(spark, "bpe")
-    ).saveAsTable(name)
+    # Each run goes to one file in one bucket; nothing is shuffled for it. Word lists are long: few rows make a batch.
+    before = spark.conf.get(ROWS_PER_BATCH)
+    spark.conf.set(ROWS_PER_BATCH, str(DOCS_PER_BATCH))
+    try:
+        split.mapInArrow(_runs(kept, run_words, SHARDS_PER_TASK * tasks), schema).write.format("parquet").option("compression", "zstd").bucketBy(
+            tasks, "__run"
+        ).option("path", scratch_path(spark, "bpe")).saveAsTable(name)
+    finally:
+        spark.conf.set(ROWS_PER_BATCH, before)
     table = spark.table(name)
     spark.sql(f"drop table {name}")  # the name only: the files are not the catalog's
-    lists = table.where("__word is not null").select("__run", "__code", "__word")
-    distinct = lists.select("__word").distinct().mapInArrow(_encode_words(path), "__word string, __ids array<int>")
-    found = lists.join(distinct, "__word").select(F.col("__run").alias("__of"), "__code", "__ids").repartition(tasks, "__of")
-    runs = table.where("__word is null").select("__run", *kept, "__codes")
+    lists = table.where("__shard is not null").select("__run", "__shard", "__first", "__lengths", "__data")
+    encoded = "__of long, __first int, __counts array<int>, __ids array<int>"
+    found = lists.groupBy("__shard").applyInArrow(_encode_shard(path), encoded).repartition(tasks, "__of")
+    runs = table.where("__shard is null").select("__run", *kept, "__codes")
     joined = runs.groupBy("__run").cogroup(found.groupBy("__of")).applyInArrow(_join_back(kept), f"{own}ids array<int>")
     return joined.select(*[F.col(k).alias(c) for c, k in zip(keep, kept)], "ids")
 
@@ -262,10 +312,12 @@ def _decode(path: str, column: str, out: str):
     return run
 
 
-@F.pandas_udf(StringType())
-def ids_digest(ids: pd.Series) -> pd.Series:
+@F.arrow_udf(StringType())
+def ids_digest(ids: pa.Array) -> pa.Array:
     """Hex SHA-256 of the ids as little-endian unsigned 32-bit numbers."""
-    return ids.map(lambda x: hashlib.sha256(np.asarray(x, "<u4").tobytes()).hexdigest())
+    flat = memoryview(ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")).cast("B")
+    ends = np.append(0, np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False), dtype=np.int64) * 4).tolist()
+    return pa.array([hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(ends, ends[1:])], pa.string())
 
 
 def decode(encoded: DataFrame, path: str | None = None, column: str = "ids", out: str = "decoded") -> DataFrame:

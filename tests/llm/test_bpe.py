@@ -25,7 +25,7 @@ def made_rows():
     return [*rows, (-1, None), (-2, ""), (-3, "x" * 300_000), (-4, " " * 5000 + "a"), (None, "dup"), (None, "dup")]
 
 
-@pytest.mark.parametrize("run_words", [20_000, 2_000_000])
+@pytest.mark.parametrize("run_words", [20_000, 1_000_000])
 def test_equals_the_library(spark, library, run_words):
     rows = made_rows()
     docs = spark.createDataFrame([(*r, 7, "c") for r in rows], "doc_id long, text string, ids int, `odd name` string").repartition(6)
