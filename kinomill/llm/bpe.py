@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import uuid
 import zlib
 from functools import lru_cache
@@ -54,6 +55,7 @@ def default_path() -> str:
 @lru_cache(maxsize=2)
 def tokenizer(path: str):
     """The library's tokenizer, without truncation, padding and added marks. One with other steps than byte-level ones is refused."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks run side by side already
     from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as file:
@@ -181,6 +183,7 @@ def _runs(kept: list[str], size: int, shards: int):
                 if count >= size or at < batch.num_rows:
                     yield _run_batch(number, held, kept, shards)
                     number, held, count = number + 1, [], 0
+                    pa.default_memory_pool().release_unused()
         if held:
             yield _run_batch(number, held, kept, shards)
 
@@ -292,7 +295,7 @@ def pieces(path: str) -> pa.Table:
 def _decode(path: str, column: str, out: str):
     def run(batches):
         table = pieces(path)
-        for batch in batches:
+        for batch in (b.slice(at, DOCS_PER_BATCH) for b in batches for at in range(0, max(1, b.num_rows), DOCS_PER_BATCH)):
             lists = batch.column(column)
             flat = lists.flatten().cast(pa.int32())
             coded = flat.dictionary_encode()
