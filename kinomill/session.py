@@ -16,6 +16,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key's side of a join even if the aggregate above needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Shuffle files go when the job that wrote them ends, not when the driver happens to collect garbage: long jobs fill no disk.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
