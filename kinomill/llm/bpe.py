@@ -4,7 +4,7 @@ Spark splits the texts into words by the tokenizer's own pattern. Runs of docume
 document each, are written once: a run has its distinct words, numbered, and its documents as word numbers. The distinct
 words of all runs meet in shards by their hash, each distinct word in one shard, where it is encoded once; the ids go back
 to the runs and join the documents by the words' positions. A run's documents and its words lie in the same bucket of the written
-table, so documents are never shuffled, and what is shuffled are packed lists of words and of ids. A word that a third of all texts repeat is one entry per
+table, so documents are never shuffled, and what is shuffled are packed lists of words and of ids, in zstd frames. A word that a third of all texts repeat is one entry per
 run. Decoding joins each batch's distinct ids with the table of pieces, whose size is the vocabulary's.
 
 The pattern's letter and digit classes are completed by asking the tokenizer for its view of the
@@ -28,6 +28,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ from kinomill.llm.common import task_count
 from kinomill.session import scratch_path
 
 RUN_WORDS = 1_000_000
+SQUEEZE_LEVEL = 5
 WORDS_PER_CALL = 4_096
 SHARDS_PER_TASK = 4
 ROWS_PER_BATCH, DOCS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 512
@@ -135,6 +137,19 @@ def _packed(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data and len(text) else np.zeros(0, np.uint8), np.diff(ends)
 
 
+def squeezed(numbers: np.ndarray, tail: bytes = b"") -> bytes:
+    """Numbers of 32 bits, byte by byte of all of them, and a tail as one zstd frame: words and ids are shuffled and written so."""
+    planes = np.ascontiguousarray(numbers.astype("<i4")).view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=SQUEEZE_LEVEL).compress(planes.tobytes() + tail)
+
+
+def unsqueezed(frame: bytes, n: int) -> tuple[np.ndarray, bytes]:
+    """The first n numbers of a frame, and the bytes after them."""
+    raw = zstandard.ZstdDecompressor().decompress(frame)
+    planes = np.frombuffer(raw, np.uint8, 4 * n).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel(), raw[4 * n :]
+
+
 def _run_batch(number: int, docs: list[pa.RecordBatch], kept: list[str], shards: int) -> pa.RecordBatch:
     """Rows of one run: its documents with word numbers, then its distinct words by shard.
 
@@ -162,10 +177,10 @@ def _run_batch(number: int, docs: list[pa.RecordBatch], kept: list[str], shards:
         pa.concat_arrays([codes, pa.nulls(m, codes.type)]),
         pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(used, pa.int64())]),
         pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(first, pa.int32())]),
-        pa.concat_arrays([pa.nulls(n, pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(lengths, pa.int32()))]),
-        pa.array([None] * n + [data[upto[a] : upto[b]].tobytes() for a, b in zip(borders[:-1], borders[1:])], pa.binary()),
+        pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(np.diff(borders), pa.int32())]),
+        pa.array([None] * n + [squeezed(lengths[a:b], data[upto[a] : upto[b]].tobytes()) for a, b in zip(borders[:-1], borders[1:])], pa.binary()),
     ]
-    return pa.RecordBatch.from_arrays(columns, names=["__run", *kept, "__codes", "__shard", "__first", "__lengths", "__data"])
+    return pa.RecordBatch.from_arrays(columns, names=["__run", *kept, "__codes", "__shard", "__first", "__size", "__words"])
 
 
 def _runs(kept: list[str], size: int, shards: int):
@@ -195,10 +210,10 @@ def _encode_shard(path: str):
 
     def run(table: pa.Table) -> pa.Table:
         made = tokenizer(path)[0]
-        sizes = pc.list_value_length(table.column("__lengths")).combine_chunks().to_numpy()
-        ends = np.append(0, np.cumsum(table.column("__lengths").combine_chunks().flatten().to_numpy(), dtype=np.int64))
-        data = b"".join(x.as_py() for x in table.column("__data"))
-        text = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(data)).dictionary_encode()
+        sizes = table.column("__size").to_numpy()
+        lengths, data = zip(*(unsqueezed(frame.as_py(), n) for frame, n in zip(table.column("__words"), sizes.tolist())))
+        ends = np.append(0, np.cumsum(np.concatenate(lengths), dtype=np.int64))
+        text = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(b"".join(data))).dictionary_encode()
         known, counts = [], []
         for at in range(0, len(text.dictionary), WORDS_PER_CALL):
             for e in made.encode_batch_fast(text.dictionary.slice(at, WORDS_PER_CALL).to_pylist(), add_special_tokens=False):
@@ -206,14 +221,19 @@ def _encode_shard(path: str):
                 counts.append(len(e.ids))
         lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(known, pa.int32()))
         flat, per_word = _take_lists(lists, text.indices.to_numpy().astype(np.int64))
-        words_upto = np.append(0, np.cumsum(sizes))
+        words_upto = np.append(0, np.cumsum(sizes, dtype=np.int64))
         ids_upto = np.append(0, np.cumsum(per_word))[words_upto]
+        found = [
+            squeezed(np.concatenate([per_word[a:b], flat[i:j]]))
+            for a, b, i, j in zip(words_upto[:-1], words_upto[1:], ids_upto[:-1], ids_upto[1:])
+        ]
         return pa.table(
             {
                 "__of": table.column("__run"),
                 "__first": table.column("__first"),
-                "__counts": pa.ListArray.from_arrays(pa.array(words_upto, pa.int32()), pa.array(per_word, pa.int32())),
-                "__ids": pa.ListArray.from_arrays(pa.array(ids_upto, pa.int32()), pa.array(flat, pa.int32())),
+                "__size": pa.array(sizes, pa.int32()),
+                "__total": pa.array(np.diff(ids_upto), pa.int32()),
+                "__found": pa.array(found, pa.binary()),
             }
         )
 
@@ -235,12 +255,15 @@ def _join_back(kept: list[str]):
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         codes = docs.column("__codes").combine_chunks()
         found = found.sort_by("__first").combine_chunks()
-        sizes = pc.list_value_length(found.column("__counts")).to_numpy()
+        sizes = found.column("__size").to_numpy()
         if not np.array_equal(np.cumsum(sizes) - sizes, found.column("__first").to_numpy()):
             raise ValueError("words of a run are missing or repeated")
-        counts = found.column("__counts").combine_chunks().flatten().to_numpy() if len(sizes) else np.zeros(0, np.int32)
+        totals = found.column("__total").to_numpy()
+        both = [unsqueezed(frame.as_py(), n + m)[0] for frame, n, m in zip(found.column("__found"), sizes.tolist(), totals.tolist())]
+        none = [np.zeros(0, np.int32)]
+        counts = np.concatenate(none + [x[:n] for x, n in zip(both, sizes)])
         ends = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
-        ids = found.column("__ids").combine_chunks().flatten() if len(sizes) else pa.array([], pa.int32())
+        ids = pa.array(np.concatenate(none + [x[n:] for x, n in zip(both, sizes)]), pa.int32())
         flat, per_word = _take_lists(pa.ListArray.from_arrays(ends, ids), codes.flatten().to_numpy().astype(np.int64))
         upto = np.append(0, np.cumsum(per_word))
         per_doc = upto[np.append(0, np.cumsum(pc.list_value_length(codes).to_numpy(zero_copy_only=False)))]
@@ -257,7 +280,7 @@ def encode(docs: DataFrame, keep: list[str] | None = None, path: str | None = No
     kept = [f"__k{i}" for i in range(len(keep))]
     split = docs.select(*[docs[c].alias(k) for c, k in zip(keep, kept)], words(docs["text"], path).alias("__words"))
     own = "".join(f"{k} {split.schema[k].dataType.simpleString()}, " for k in kept)
-    schema = f"__run long, {own}__codes array<int>, __shard long, __first int, __lengths array<int>, __data binary"
+    schema = f"__run long, {own}__codes array<int>, __shard long, __first int, __size int, __words binary"
     tasks, name = task_count(spark), f"bpe_runs_{uuid.uuid4().hex}"
     # Each run goes to one file in one bucket; nothing is shuffled for it. Word lists are long: few rows make a batch.
     before = spark.conf.get(ROWS_PER_BATCH)
@@ -270,8 +293,8 @@ def encode(docs: DataFrame, keep: list[str] | None = None, path: str | None = No
         spark.conf.set(ROWS_PER_BATCH, before)
     table = spark.table(name)
     spark.sql(f"drop table {name}")  # the name only: the files are not the catalog's
-    lists = table.where("__shard is not null").select("__run", "__shard", "__first", "__lengths", "__data")
-    encoded = "__of long, __first int, __counts array<int>, __ids array<int>"
+    lists = table.where("__shard is not null").select("__run", "__shard", "__first", "__size", "__words")
+    encoded = "__of long, __first int, __size int, __total int, __found binary"
     found = lists.groupBy("__shard").applyInArrow(_encode_shard(path), encoded).repartition(tasks, "__of")
     runs = table.where("__shard is null").select("__run", *kept, "__codes")
     joined = runs.groupBy("__run").cogroup(found.groupBy("__of")).applyInArrow(_join_back(kept), f"{own}ids array<int>")

@@ -64,3 +64,14 @@ def test_query(spark, small, library):
 
 def test_empty(spark):
     assert bpe.decode(bpe.encode(spark.createDataFrame([], "doc_id long, text string"))).collect() == []
+
+
+def test_words_and_ids_are_sent_in_frames():
+    """Numbers and bytes come back as they were, in far fewer bytes than lists of them take."""
+    import numpy as np
+
+    numbers, tail = np.arange(5_000, dtype=np.int32) % 3_000, b"word" * 2_000
+    frame = bpe.squeezed(numbers, tail)
+    back, rest = bpe.unsqueezed(frame, len(numbers))
+    assert np.array_equal(back, numbers) and rest == tail and len(frame) < (4 * len(numbers) + len(tail)) / 4
+    assert bpe.unsqueezed(bpe.squeezed(numbers[:0]), 0)[0].tolist() == []
