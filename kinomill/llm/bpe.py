@@ -315,15 +315,14 @@ def pieces(path: str) -> pa.Table:
     return pa.table({"id": pa.array([i for i, _ in rows], pa.int32()), "piece": pa.array(data, pa.binary())})
 
 
-def _decode(path: str, column: str, out: str):
+def _decode(table: pa.Table, column: str, out: str, digest: str | None):
     def run(batches):
-        table = pieces(path)
         for batch in (b.slice(at, DOCS_PER_BATCH) for b in batches for at in range(0, max(1, b.num_rows), DOCS_PER_BATCH)):
             lists = batch.column(column)
             flat = lists.flatten().cast(pa.int32())
             coded = flat.dictionary_encode()
             known = pa.table({"id": coded.dictionary, "at": pa.array(np.arange(len(coded.dictionary)))})
-            met = known.join(table, "id", join_type="left outer").sort_by("at").column("piece").combine_chunks()
+            met = known.join(table, "id", join_type="left outer", use_threads=False).sort_by("at").column("piece").combine_chunks()
             met = pc.fill_null(met, b"")
             codes = pc.fill_null(coded.indices, len(met))
             met = pa.concat_arrays([met.cast(pa.binary()), pa.array([b""], pa.binary())])
@@ -333,20 +332,30 @@ def _decode(path: str, column: str, out: str):
             body = memoryview(data) if data else memoryview(b"")
             borders = at[ends].tolist() if len(chosen) else [0] * len(ends)
             texts = [bytes(body[a:b]).decode("utf-8", "replace") for a, b in zip(borders[:-1], borders[1:])]
-            yield batch.append_column(out, pa.array(texts, pa.string()))
+            done = batch.append_column(out, pa.array(texts, pa.string()))
+            yield done.append_column(digest, ids_digest(lists)) if digest else done
 
     return run
 
 
-@F.arrow_udf(StringType())
 def ids_digest(ids: pa.Array) -> pa.Array:
-    """Hex SHA-256 of the ids as little-endian unsigned 32-bit numbers."""
-    flat = memoryview(ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")).cast("B")
-    ends = np.append(0, np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False), dtype=np.int64) * 4).tolist()
-    return pa.array([hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(ends, ends[1:])], pa.string())
+    """Hex SHA-256 of the ids as little-endian unsigned 32-bit numbers; none for null lists and lists with a null."""
+    counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    values = ids.flatten()
+    flat = memoryview(pc.fill_null(values, 0).to_numpy(zero_copy_only=False).astype("<u4")).cast("B")
+    ends = np.append(0, np.cumsum(counts, dtype=np.int64))
+    nulls = np.append(0, np.cumsum(values.is_null().to_numpy(zero_copy_only=False)))[ends]
+    whole = ids.is_valid().to_numpy(zero_copy_only=False) & (np.diff(nulls) == 0)
+    spans = zip((4 * ends[:-1]).tolist(), (4 * ends[1:]).tolist(), whole.tolist())
+    return pa.array([hashlib.sha256(flat[a:b]).hexdigest() if all_ else None for a, b, all_ in spans], pa.string())
 
 
-def decode(encoded: DataFrame, path: str | None = None, column: str = "ids", out: str = "decoded") -> DataFrame:
-    """``encoded`` with the text of each row's ids."""
+def decode(encoded: DataFrame, path: str | None = None, column: str = "ids", out: str = "decoded", digest: str | None = None) -> DataFrame:
+    """``encoded`` with the text of each row's ids and, if ``digest`` names it, a column with the ids' SHA-256.
+
+    Both are made in one pass, so a task has one Python process for them; the table of pieces comes with the function.
+    """
     schema = StructType([*encoded.schema.fields, StructField(out, StringType())])
-    return encoded.mapInArrow(_decode(path or default_path(), column, out), schema)
+    if digest:
+        schema = schema.add(digest, StringType())
+    return encoded.mapInArrow(_decode(pieces(path or default_path()), column, out, digest), schema)

@@ -108,11 +108,11 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
 
 def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in byte-level pieces and back."""
-    decoded = bpe.decode(bpe.encode(table(spark, folder, "documents"), ["doc_id"]))
+    decoded = bpe.decode(bpe.encode(table(spark, folder, "documents"), ["doc_id"]), digest="ids_sha256")
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        bpe.ids_digest("ids").alias("ids_sha256"),
+        "ids_sha256",
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 

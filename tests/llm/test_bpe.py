@@ -52,6 +52,18 @@ def test_foreign_ids(spark, library):
     assert got == [library.decode([i for i in x or [] if i is not None], skip_special_tokens=False) for x in lists]
 
 
+def test_one_python_process_decodes_and_digests(spark, small):
+    """Texts and digests of a task come from one process; each further one holds a hundred megabytes of an executor."""
+    plan = queries.op12_bpe(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_digests(spark):
+    lists = [[1, 256], None, [], [3, None], [60_000]]
+    got = bpe.decode(spark.createDataFrame([(x,) for x in lists], "ids array<int>").coalesce(1), digest="d").collect()
+    assert [r["d"] for r in got] == [None if x is None or None in x else hashlib.sha256(struct.pack(f"<{len(x)}I", *x)).hexdigest() for x in lists]
+
+
 def test_query(spark, small, library):
     rows = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     found = queries.op12_bpe(spark, small).collect()
