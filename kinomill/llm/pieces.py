@@ -39,8 +39,8 @@ MARK = 0x2581  # begins a word inside pieces
 LITERAL = 0x110000  # a mark that the text itself holds; no piece has this code
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SLOTS = 1 << 20
-CHARS_PER_PASS = 2_000_000
-PLACES_PER_LATTICE = 400000
+CHARS_PER_PASS = 1_000_000
+PLACES_PER_LATTICE = 50_000  # its arrays have a row per length of a piece; they stay near the processor
 
 
 @dataclass

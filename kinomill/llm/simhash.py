@@ -38,6 +38,7 @@ from kinomill.session import cut_lineage
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BITS = 64
+LIMIT = 4
 SHORT_RUN = 48
 HOT_RUN = 20_000
 SEED = 42
@@ -278,7 +279,7 @@ def _hot_edges(hot: DataFrame, limit: int) -> DataFrame:
     return spread.join(least, "mid").where("fp <> least").select(F.greatest("fp", "least").alias("u"), F.least("fp", "least").alias("v")).distinct()
 
 
-def links(fps: DataFrame, limit: int = 4, hot_run: int = HOT_RUN) -> DataFrame:
+def links(fps: DataFrame, limit: int = LIMIT, hot_run: int = HOT_RUN) -> DataFrame:
     """Edges (u, v) among distinct fingerprints ``fps`` (fp) that connect all those linked within ``limit`` bits."""
     plan = plan_for(fps, limit)
     keyed = _keyed(fps, plan)
@@ -296,7 +297,7 @@ def links(fps: DataFrame, limit: int = 4, hot_run: int = HOT_RUN) -> DataFrame:
     return edges
 
 
-def near_duplicates(docs: DataFrame, size: int = 4, limit: int = 4, hot_run: int = HOT_RUN) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 4, limit: int = LIMIT, hot_run: int = HOT_RUN) -> DataFrame:
     """(doc_id, fp, component_id): the smallest doc_id among documents reachable over links, for each row."""
     marked = cut_lineage(fingerprints(docs, size))
     nodes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))

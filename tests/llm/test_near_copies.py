@@ -85,5 +85,30 @@ def test_walks():
     assert np.concatenate(near_copies.walk_apart(node, n, fp, root), axis=1).T.tolist() == [[1, 0, 1]]
 
 
+def test_fingerprints_find_links_without_buckets(spark):
+    """SimHash is no mere sketch: without any MinHash bucket, links of at most four bits are found by its pigeonhole keys."""
+    from pyspark.sql import functions as F
+
+    texts = made_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marked = near_copies.signatures(docs).localCheckpoint()
+    fps, node = ({r["doc_id"]: r[c] for r in marked.collect()} for c in ("fp", "node"))
+    roots = near_copies.links(docs, marked.withColumn("keys", F.array().cast("array<bigint>")))
+    assert roots is not None
+    root = {r["node"]: r["root"] for r in roots.collect()}
+    right, sets, near = slow_components(texts), [shingles(t) for t in texts], 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            alike = 5 * len(a & b) >= 4 * len(a | b)
+            if alike and node[i] != node[j] and ((fps[i] ^ fps[j]) & (2**64 - 1)).bit_count() <= 4:
+                near += root[node[i]] == root[node[j]]
+            if root.get(node[i], -1) == root.get(node[j], -2):
+                assert right[i] == right[j]
+    assert near > 20
+    pairs = near_copies.fingerprint_candidates(marked.select("node", "fp").distinct()).collect()
+    of = {n: fps[i] & (2**64 - 1) for i, n in node.items()}
+    assert all((of[r["u"]] ^ of[r["v"]]).bit_count() == r["apart"] <= 4 for r in pairs)
+
+
 def test_empty(spark):
     assert near_copies.near_copies(spark.createDataFrame([], "doc_id long, text string")).collect() == []
