@@ -22,6 +22,7 @@ from ..session import cut_lineage
 SKETCH_SIZE = 800
 STEPS = 100  # a step is well above twice the rank error of a sketch of this size
 MOST = 200_000
+FEW_GROUPS = 10_000
 
 
 def _key(value: Column) -> Column:
@@ -29,8 +30,11 @@ def _key(value: Column) -> Column:
     return F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number)
 
 
-def _on(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join with one row per group, in which NULL groups match; without groups ``right`` is one row, taken as constants."""
+def _on(left: DataFrame, right: DataFrame, by: Sequence[str], few: bool = False) -> DataFrame:
+    """Join with one row per group, in which NULL groups match; without groups ``right`` is one row, taken as constants.
+
+    ``few`` groups are broadcast: a join by the group would sort all rows of a group in one task.
+    """
     if not by:
         row = right.first()
         constants = {f.name: F.lit(row[f.name] if row else None).cast(f.dataType) for f in right.schema.fields}
@@ -39,7 +43,7 @@ def _on(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     same = F.lit(True)
     for i, c in enumerate(by):
         same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"__g{i}"))
-    return left.join(renamed, same).drop(*[f"__g{i}" for i in range(len(by))])
+    return left.join(F.broadcast(renamed) if few else renamed, same).drop(*[f"__g{i}" for i in range(len(by))])
 
 
 def _ranks(probs: Sequence[float], interpolate: bool) -> list[Column]:
@@ -69,9 +73,9 @@ def _inside(i: int) -> Column:
     return (F.col("__key") >= F.col(f"__low{i}")) & (F.col("__key") <= F.col(f"__high{i}"))
 
 
-def _counted(values: DataFrame, brackets: DataFrame, by: Sequence[str], n: int) -> DataFrame:
+def _counted(values: DataFrame, brackets: DataFrame, by: Sequence[str], n: int, few: bool) -> DataFrame:
     """Per group and value inside a bracket how often it occurs; one more row per group, without a value, for all others."""
-    met = _on(values, brackets, by)
+    met = _on(values, brackets, by, few)
     any_inside = F.lit(False)
     for i in range(n):
         any_inside = any_inside | _inside(i)
@@ -80,9 +84,9 @@ def _counted(values: DataFrame, brackets: DataFrame, by: Sequence[str], n: int)
     return kept.groupBy(*by, "__at").agg(F.count(F.lit(1)).alias("__n"), *below)
 
 
-def _judged(counted: DataFrame, brackets: DataFrame, by: Sequence[str], n: int) -> DataFrame:
+def _judged(counted: DataFrame, brackets: DataFrame, by: Sequence[str], n: int, few: bool) -> DataFrame:
     """Brackets with what lies below and inside each, and how many different values that are."""
-    own = _on(counted.withColumn("__key", _key(F.col("__at"))), brackets, by)
+    own = _on(counted.withColumn("__key", _key(F.col("__at"))), brackets, by, few)
     sums = []
     for i in range(n):
         here = F.col("__at").isNotNull() & _inside(i)
@@ -123,9 +127,10 @@ def exact_quantiles(
         low, high = _borders(F.col("__sketch"), rank, F.col("__total"))
         columns += [rank.alias(f"__rank{i}"), low.alias(f"__low{i}"), high.alias(f"__high{i}")]
     brackets = cut_lineage(sketched.where("__total > 0").select(*by, "__total", *columns))
+    few = bool(by) and brackets.count() <= FEW_GROUPS
     while True:
-        counted = cut_lineage(_counted(values, brackets, by, n))
-        judged = cut_lineage(_judged(counted, brackets, by, n))
+        counted = cut_lineage(_counted(values, brackets, by, n, few))
+        judged = cut_lineage(_judged(counted, brackets, by, n, few))
         low_miss = [F.col(f"__rank{i}") <= F.col(f"__below{i}") for i in range(n)]
         high_miss = [F.col(f"__rank{i}") > F.col(f"__below{i}") + F.col(f"__in{i}") for i in range(n)]
         # Equal borders cannot be narrowed: what is inside are values that are one double.
@@ -135,7 +140,7 @@ def exact_quantiles(
             again = again | condition
         if judged.where(again).isEmpty():
             break
-        inside = _on(values, judged, by)
+        inside = _on(values, judged, by, few)
         sketches = [F.kll_sketch_agg_double(F.when(_inside(i), F.col("__key")), F.lit(sketch_size)).alias(f"__sketch{i}") for i in range(n)]
         known = [c for c in judged.columns if c not in by]
         narrowed = inside.groupBy(*by, *known).agg(*sketches)
@@ -148,12 +153,12 @@ def exact_quantiles(
             new_high = F.when(high_miss[i], F.lit(float("inf"))).when(miss | ~wide[i], keep_high).otherwise(F.least(high, keep_high))
             columns += [f"__rank{i}", new_low.alias(f"__low{i}"), new_high.alias(f"__high{i}")]
         brackets = cut_lineage(narrowed.select(*by, "__total", *columns))
-    return _read_off(counted, judged, by, n, probs, interpolate, names)
+    return _read_off(counted, judged, by, n, probs, interpolate, names, few)
 
 
-def _read_off(counted, judged, by, n, probs, interpolate, names):
+def _read_off(counted, judged, by, n, probs, interpolate, names, few):
     """The values at the ranks, from running counts over each bracket's histogram."""
-    inside = _on(counted.where(F.col("__at").isNotNull()).select(*by, "__at", "__n", _key(F.col("__at")).alias("__key")), judged, by)
+    inside = _on(counted.where(F.col("__at").isNotNull()).select(*by, "__at", "__n", _key(F.col("__at")).alias("__key")), judged, by, few)
     found = []
     for i in range(n):
         upto = F.col(f"__below{i}") + F.sum(F.when(_inside(i), F.col("__n")).otherwise(0)).over(

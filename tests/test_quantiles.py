@@ -90,3 +90,17 @@ def test_trust_hands_approximate_to_the_band(spark, monkeypatch):
     for approximate in (False, True):
         trusted.trust(people, "crew_data", approximate=approximate)
     assert seen == [False, True]
+
+
+def test_few_groups_are_broadcast(spark, monkeypatch):
+    """The rows of three groups are not sorted in three tasks to meet their brackets."""
+    plans, cut = [], quantiles.cut_lineage
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(quantiles, "cut_lineage", spy)
+    df = spark.createDataFrame(made()[:3000], "g string, v double")
+    exact_quantiles(df, "v", [0.5], ["g"]).collect()
+    assert any("BroadcastHashJoin" in p for p in plans) and not any("SortMergeJoin" in p for p in plans)
