@@ -204,3 +204,13 @@ def test_pattern_filters_and_implied_types(spark):
     assert [r.asDict() for r in found.collect()] == [{"x": "a", "y": "b", "n": "1", "m": "2"}]
     with pytest.raises(ValueError, match="unbound"):
         B.bgp(t, needed, [(("?z",), F.col("z") > 1)])
+
+
+def test_films_of_one_split_are_mapped_by_several_tasks(spark, small):
+    """Millions of films are one split; each gives a dozen statements, which one task would have to merge."""
+    from kinomill.catalog import graph
+
+    for key in ("triples_movie", "triples_title", "property_table"):
+        made = graph.QUERIES[key](spark, small) if key != "property_table" else graph.M.graph({"title_basics": graph.D.title_basics(spark, small)}, graph.V)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "RoundRobinPartitioning" in plan[plan.index("Generate") :]
