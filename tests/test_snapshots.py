@@ -77,3 +77,13 @@ def test_of_two_writers_one_wins(spark, table, monkeypatch):
     assert rows_of(table.read()) == [(1, "a"), (2, "other writer")]
     with pytest.raises(FileNotFoundError):
         table.read(9)
+
+
+def test_many_small_files_are_written_by_several_tasks(spark, small, tmp_path, monkeypatch):
+    """Files of a few lines each: their bytes are few, and one task would write them one after the other."""
+    from kinomill.catalog import storage
+
+    monkeypatch.setattr(storage, "scratch_path", lambda *_: str(tmp_path / "files"))
+    storage.file_hashes(spark, small)
+    tasks = {f.name.split("-")[1] for f in (tmp_path / "files").rglob("part-*") if f.is_file()}
+    assert len(tasks) > 1
