@@ -110,5 +110,16 @@ def test_fingerprints_find_links_without_buckets(spark):
     assert all((of[r["u"]] ^ of[r["v"]]).bit_count() == r["apart"] <= 4 for r in pairs)
 
 
+def test_both_sources_are_settled_at_once(spark, monkeypatch):
+    """One settling for candidates of both sources: each one leaves the driver the plans of several rounds of components."""
+    docs, waiting, settle = spark.createDataFrame(list(enumerate(made_texts())), "doc_id long, text string"), [], near_copies._settle
+    monkeypatch.setattr(near_copies, "_settle", lambda pairs, *rest: waiting.append(pairs) or settle(pairs, *rest))
+    marked = near_copies.signatures(docs).localCheckpoint()
+    near_copies.links(docs, marked)
+    first = {(r["u"], r["v"]) for r in waiting[0].collect()}
+    assert {(r["u"], r["v"]) for r in near_copies.fingerprint_candidates(marked.select("node", "fp").distinct()).collect()} < first
+    assert waiting[0].where("apart > 4").count() > 0
+
+
 def test_empty(spark):
     assert near_copies.near_copies(spark.createDataFrame([], "doc_id long, text string")).collect() == []
