@@ -214,3 +214,20 @@ def test_films_of_one_split_are_mapped_by_several_tasks(spark, small):
         made = graph.QUERIES[key](spark, small) if key != "property_table" else graph.M.graph({"title_basics": graph.D.title_basics(spark, small)}, graph.V)
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "RoundRobinPartitioning" in plan[plan.index("Generate") :]
+
+
+def test_rows_of_a_mapping_task_do_not_grow_with_the_tables(spark, small, rows, monkeypatch):
+    """Many rows are dealt by their number, also behind joins, whose coalesced tasks are cut by bytes; the statements stay the same."""
+    from kinomill.catalog import graph as queries
+
+    assert D.mapping_tasks(spark, small, "ratings") is None
+    keys = ("entail_types", "triples_name", "triples_title")
+    few = {key: rows(queries.QUERIES[key](spark, small)) for key in keys}
+    monkeypatch.setattr(D, "ROWS_A_TASK", {"lineitem": 100, "part": 5})
+    for key, source in zip(keys, ("lineitem", "lineitem", "part")):
+        table = D.table(spark, small, source).count()
+        tasks = D.mapping_tasks(spark, small, "ratings" if source == "lineitem" else "title_basics")
+        assert tasks == -(-table // D.ROWS_A_TASK[source]) > spark.sparkContext.defaultParallelism
+        dealt = queries.QUERIES[key](spark, small)
+        assert f"RoundRobinPartitioning({tasks})" in dealt._jdf.queryExecution().executedPlan().toString()
+        assert rows(dealt) == few[key]
