@@ -38,7 +38,7 @@ from kinomill.llm.common import task_count
 from kinomill.session import scratch_path
 
 RUN_WORDS = 1_000_000
-SQUEEZE_LEVEL = 5
+SQUEEZE_LEVEL = 15
 WORDS_PER_CALL = 4_096
 SHARDS_PER_TASK = 4
 ROWS_PER_BATCH, DOCS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 512
