@@ -121,5 +121,67 @@ def test_both_sources_are_settled_at_once(spark, monkeypatch):
     assert waiting[0].where("apart > 4").count() > 0
 
 
+def test_parts_and_blocks_lose_no_link(spark):
+    """Runs of a few rows and blocks of a few shingles: members of different parts that no leader reaches are compared as well."""
+    texts = made_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    roots = slow_components(texts)
+    want = {i: min(j for j, r in enumerate(roots) if r == root) for i, root in enumerate(roots)}
+    for rows, block in ((3, 2_000_000), (8, 300)):
+        got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs, run_rows=rows, block=block).collect()}
+        assert got == want
+
+
+def test_links_of_many_bits(spark):
+    """Texts of similarity 0.8 whose fingerprints differ in more bits than the walks allow."""
+    rng, rows = random.Random(3), []
+    while len(rows) < 6:
+        words = [f"w{rng.randrange(10**9)}" for _ in range(9)]
+        texts = " ".join(words), " ".join(words[:8])
+        a, b = (near_copies.majority(x) for x in near_copies.shingle_sets([t.encode() for t in texts]))
+        if (a ^ b).bit_count() > near_copies.BITS_APART:
+            rows += [(len(rows), texts[0]), (len(rows) + 1, texts[1])]
+    check(spark, rows)
+
+
+def test_links_behind_nearer_strangers(spark):
+    """Members of a bucket whose nearest ones by fingerprint are no copies: those further off are compared too."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base), " ".join([*base[:-1], "other"])]
+    texts += [" ".join(f"z{rng.randrange(10**9)}" for _ in range(60)) for _ in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marked = near_copies.signatures(docs)
+    # One bucket; the strangers' fingerprints lie five to seven bits off, in different bits, the copy's nine.
+    bits = F.expr("case when doc_id = 0 then 0L when doc_id = 1 then shiftleft(511L, 50) else shiftleft(31L, cast(doc_id as int) * 4 - 8) end")
+    marked = marked.withColumn("fp", bits).withColumn("keys", F.array(F.lit(7).cast("long"))).localCheckpoint()
+    node = {r["doc_id"]: r["node"] for r in marked.collect()}
+    roots = near_copies.links(docs, marked)
+    assert {r["node"] for r in roots.collect()} == {node[0], node[1]}
+
+
+def test_link_members_against_all_pairs():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for role in (np.r_[np.zeros(20, int), np.ones(20, int)], np.r_[np.zeros(10, int), np.full(15, 2), np.full(15, 3)]):
+        sets = [np.sort(rng.choice(14, rng.integers(8, 14), replace=False)) for _ in role]
+        node, n = rng.permutation(40), np.array([len(s) for s in sets])
+        linked = near_copies.link_members(node, n, node, role, np.concatenate(sets))
+        want = list(range(40))
+        for i in range(40):
+            for j in range(40):
+                both, asks = len(set(sets[i]) & set(sets[j])), role[i] % 2 and (role[j] == 0 or role[j] < 3 and node[j] < node[i])
+                if asks and 9 * both >= 4 * (n[i] + n[j]):
+                    want = [want[i] if r == want[j] else r for r in want]
+        got, at = list(range(40)), {int(x): i for i, x in enumerate(node)}
+        for u, v in linked:
+            assert got[at[u]] != got[at[v]]  # never a second link between two components
+            got = [got[at[u]] if r == got[at[v]] else r for r in got]
+        assert len({(a, b) for a, b in zip(got, want)}) == len(set(got)) == len(set(want))
+
+
 def test_empty(spark):
     assert near_copies.near_copies(spark.createDataFrame([], "doc_id long, text string")).collect() == []
