@@ -87,3 +87,11 @@ def test_many_small_files_are_written_by_several_tasks(spark, small, tmp_path, m
     storage.file_hashes(spark, small)
     tasks = {f.name.split("-")[1] for f in (tmp_path / "files").rglob("part-*") if f.is_file()}
     assert len(tasks) > 1
+
+
+def test_file_hashes_are_taken_once_for_manifest_and_result(spark, small):
+    """The result is made of the hashes the manifest has, not of files that are read again."""
+    from kinomill.catalog import storage
+
+    plan = storage.file_hashes(spark, small)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("md5(content") == 1  # that of ``still_new``
